@@ -61,12 +61,15 @@ def flag(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str) -> D
     )
 
 
-def join_optional(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
-    """Left join on a mostly NULL foreign key.
+def join_optional(
+    left: DataFrame, right: DataFrame, key: str, spread_by: str, also: Sequence[str] = ()
+) -> DataFrame:
+    """Left join on a mostly NULL foreign key (and further keys ``also``).
 
     All NULL keys would hash to one partition.  They get a stand-in key made
     of the row's own id instead (negative, so it can match no surrogate id),
-    which spreads them evenly.  ``right`` must hold ``key`` once per row.
+    which spreads them evenly.
     """
     spread = left.withColumn("_key", F.coalesce(F.col(key), -1 - F.col(spread_by)))
-    return spread.join(right.withColumnRenamed(key, "_key"), "_key", "left").drop("_key")
+    target = right.withColumnRenamed(key, "_key")
+    return spread.join(target, ["_key", *also], "left").drop("_key")
