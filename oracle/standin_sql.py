@@ -213,9 +213,10 @@ FROM t_parcels p JOIN x_base x ON x.k = p.order_id WHERE x.k % 5 = 0""",
 SELECT c_custkey AS merchant_id, CASE WHEN c_custkey % 4 = 0 THEN c_custkey END AS route_id,
        c_custkey AS pallet_id
 FROM customer WHERE c_custkey % 3 = 0""",
-    "t_user_routes": """
-SELECT DISTINCT x.route AS route_id, e.user_id
-FROM x_events e JOIN x_plan x USING (k) WHERE e.id % 4 <> 3""",
+    "t_user_routes": f"""
+SELECT x.route AS route_id, e.user_id FROM x_events e JOIN x_plan x USING (k) WHERE e.id % 4 <> 3
+UNION
+SELECT x.mroute, e.user_id FROM x_events e JOIN x_plan x USING (k) WHERE e.id % 4 <> 3 AND {_MERCHANT}""",
     "t_route_history": "SELECT id, id AS route_child_id FROM t_routes WHERE id % 9 = 0",
     "t_route_vehicle_images": """
 SELECT id AS route_id, CASE id % 4 WHEN 0 THEN 'ABO' || (id % 10)

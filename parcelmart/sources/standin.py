@@ -417,7 +417,11 @@ class StandInTables(Tables):
         return (
             self._base(nation=True, where=PLANNED)
             .join(seen, "k")
-            .selectExpr(f"{ROUTE} AS route_id", "user_id")
+            .selectExpr(
+                f"explode(array({ROUTE}, IF({ON_MERCHANT_STOP}, {MERCHANT_ROUTE}, {ROUTE})))"
+                " AS route_id",
+                "user_id",
+            )
             .distinct()
         )
 
