@@ -31,10 +31,3 @@ def joined(separator: str, *parts: Column) -> Column:
 
 def admin_link(base: str, kind: str, key: Column) -> Column:
     return F.concat(F.lit(f"{base}{kind}/"), key.cast("string"))
-
-
-def clock_of_seconds(seconds: Column) -> Column:
-    """``HH:mm`` of a number of seconds since midnight."""
-    hours = F.floor(seconds / 3600).cast("string")
-    minutes = F.floor((seconds % 3600) / 60).cast("string")
-    return F.concat(F.lpad(hours, 2, "0"), F.lit(":"), F.lpad(minutes, 2, "0"))

@@ -17,9 +17,23 @@ def seconds_of_day(value: Column) -> Column:
     return F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
 
 
+def clock_of_seconds(seconds: Column) -> Column:
+    """``HH:mm`` of a number of seconds since midnight."""
+    hours = F.floor(seconds / 3600).cast("string")
+    minutes = F.floor((seconds % 3600) / 60).cast("string")
+    return F.concat(F.lpad(hours, 2, "0"), F.lit(":"), F.lpad(minutes, 2, "0"))
+
+
 def clock_text(value: Column) -> Column:
-    """``HH:mm`` of a timestamp."""
-    return F.date_format(value, "HH:mm")
+    """``HH:mm`` of a timestamp, whatever the session's time zone."""
+    return clock_of_seconds(seconds_of_day(value))
+
+
+def micros_text(value: Column) -> Column:
+    """Timestamp with all six decimals, whatever the session's time zone."""
+    text = value.cast("string")
+    whole = F.when(F.length(text) == 19, F.concat(text, F.lit("."))).otherwise(text)
+    return F.rpad(whole, 26, "0")
 
 
 def to_zone(value: Column, zone: Column | str) -> Column:

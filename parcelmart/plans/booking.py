@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from parcelmart.functions import vocabulary as v
 from parcelmart.functions.clock import AsOf, ts_lit
 from parcelmart.functions.predicates import billable, like_any_case, on_or_between
-from parcelmart.functions.text import clock_of_seconds
-from parcelmart.functions.timeparts import day_name, to_zone
+from parcelmart.functions.timeparts import clock_of_seconds, day_name, to_zone
 from parcelmart.operators.joins import flag, join_optional, keep
 from parcelmart.plans.shared import (
     buyer_names,

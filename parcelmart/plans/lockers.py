@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from parcelmart.functions import vocabulary as v
 from parcelmart.functions.clock import AsOf, ts_lit
 from parcelmart.functions.predicates import like_any_case
-from parcelmart.functions.text import admin_link, clock_of_seconds, joined
+from parcelmart.functions.text import admin_link, joined
+from parcelmart.functions.timeparts import clock_of_seconds
 from parcelmart.operators.aggregates import category_columns, count_where, pivot_counts, ratio
 from parcelmart.operators.joins import (
     exclude,

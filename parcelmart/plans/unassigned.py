@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelmart.functions import vocabulary as v
 from parcelmart.functions.clock import AsOf, ts_lit
-from parcelmart.operators.aggregates import count_where
+from parcelmart.functions.timeparts import micros_text
 from parcelmart.operators.joins import distinct_keys, exclude
 from parcelmart.plans.shared import zone_terminals
 from parcelmart.sources.tables import Tables
@@ -215,7 +215,7 @@ def orders_not_assigned_union(t: Tables, as_of: AsOf) -> DataFrame:
         .join(merchants, "buyer_id")
         .join(tags, "buyer_id", "left")
         .select(
-            F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("order_created_date"),
+            micros_text(c("created_at")).alias("order_created_date"),
             "merchant",
             "zone_title",
             "terminal_code",
