@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,17 @@ def seconds_of_day(value: Column) -> Column:
     return F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
 
 
+def epoch_seconds(value: Column) -> Column:
+    """Whole seconds since 1970 of a zone-free UTC time."""
+    days = F.datediff(value, F.lit(date(1970, 1, 1))).cast("bigint")
+    return days * 86400 + seconds_of_day(value)
+
+
+def utc_of(seconds: Column) -> Column:
+    """Zone-free UTC time of whole seconds since 1970."""
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
+
+
 def clock_of_seconds(seconds: Column) -> Column:
     """``HH:mm`` of a number of seconds since midnight."""
     hours = F.floor(seconds / 3600).cast("string")

@@ -19,6 +19,7 @@ from parcelmart.functions.timeparts import (
     clamp_before,
     clock_text,
     day_name,
+    epoch_seconds,
     iso_week_label,
     outside_window,
     seconds_of_day,
@@ -513,9 +514,8 @@ def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with a whole-second position, the order of a user's events."""
-    days = F.datediff("ts", F.lit(date(2024, 1, 1)))
     return _read(spark, sf_dir, "events", "event_id", "user_id", "event_type", "ts").withColumn(
-        "second", days * 86400 + seconds_of_day(c("ts"))
+        "second", epoch_seconds(c("ts"))
     )
 
 
