@@ -46,20 +46,38 @@ def ratio(part: Column, whole: Column, scale: int = 1) -> Column:
     return result if scale == 1 else result * scale
 
 
-def concat_distinct(df: DataFrame, keys: Sequence[str], value: str, separator: str) -> DataFrame:
-    """Distinct values of each key as one ordered text.
-
-    Duplicates are removed by a hash aggregation first, so only the values
-    that appear in the output reach the concatenation.
+def concat_distinct(
+    df: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    separator: str,
+    smallest: Sequence[str] = (),
+) -> DataFrame:
+    """Distinct values of each key as one ordered text per value column.
+
+    All value columns are stacked and their duplicates removed by one hash
+    aggregation first, so only the values that appear in the output reach the
+    concatenation.  ``smallest`` columns are reduced to their minimum on the
+    way.
     """
-    text = F.expr(f"listagg({value}, '{separator}') WITHIN GROUP (ORDER BY {value})")
-    return (
-        df.where(F.col(value).isNotNull())
-        .select(*keys, value)
-        .distinct()
-        .groupBy(*keys)
-        .agg(text.alias(value))
+
+    def text(name: str) -> Column:
+        listed = F.expr(
+            f"listagg(IF(_name = '{name}', _value, NULL), '{separator}')"
+            " WITHIN GROUP (ORDER BY _value)"
+        )
+        return listed.alias(name)
+
+    stacked = ", ".join(f"'{name}', {name}" for name in values)
+    minima = [F.min(name).alias(name) for name in smallest]
+    distinct = (
+        df.select(
+            *keys, *smallest, F.expr(f"stack({len(values)}, {stacked}) AS (_name, _value)")
+        )
+        .groupBy(*keys, "_name", "_value")
+        .agg(F.count("*").alias("_rows"), *minima)
     )
+    return distinct.groupBy(*keys).agg(*[text(name) for name in values], *minima)
 
 
 def with_total(counts: DataFrame, entity: str, group: str, measure: str, label: str) -> DataFrame:

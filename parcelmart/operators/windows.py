@@ -22,21 +22,27 @@ def previous_row(
     A plain ``lag`` sorts a whole key in one task.  Here a key is cut into
     slices of ``width`` consecutive ``order`` values: the lag runs inside each
     slice, and the first row of a slice takes the last row of the slice
-    before it, found on a summary of one row per slice.
+    before it, found among the last rows of all slices.
+
+    Both uses of the slices read the same columns, so that Spark shuffles
+    (and computes) the input once and reuses it.
     """
-    payload = F.struct(*carry)
+    whole = F.struct(*df.columns)
     sliced = df.withColumn("_slice", F.floor(F.col(order) / width))
     inside = Window.partitionBy(*keys, "_slice").orderBy(order, *tie_breaks)
     across = Window.partitionBy(*keys).orderBy("_slice")
+    linked = sliced.withColumn("_near", F.lag(whole).over(inside)).withColumn(
+        "_is_end", F.lead(F.lit(True), 1, False).over(inside) == F.lit(False)
+    )
     ends = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(F.max_by(payload, F.struct(order, *tie_breaks)).alias("_end"))
-        .withColumn("_before", F.lag("_end").over(across))
-        .drop("_end")
+        linked.where("_is_end")
+        .select(*keys, "_slice", F.lag(whole).over(across).alias("_far"))
+        .where(F.col("_far").isNotNull())
     )
+    before = F.coalesce(F.col("_near"), F.col("_far"))
+    picked = F.struct(*[before[column].alias(column) for column in carry])
     return (
-        sliced.withColumn(name, F.lag(payload).over(inside))
-        .join(ends, [*keys, "_slice"], "left")
-        .withColumn(name, F.coalesce(F.col(name), F.col("_before")))
-        .drop("_slice", "_before")
+        linked.join(ends, [*keys, "_slice"], "left")
+        .withColumn(name, F.when(before.isNotNull(), picked))
+        .drop("_slice", "_near", "_far", "_is_end")
     )

@@ -52,7 +52,7 @@ def _parcel_counts() -> list:
 
 
 def cross_country_billable(t: Tables, as_of: AsOf) -> DataFrame:
-    abroad = zone_terminals(t, v.TO_DOOR).where(
+    abroad = zone_terminals(t, v.TO_DOOR, with_country=True).where(
         (c("zone_city") != v.TEST_CITY) & (c("country") != c("terminal_country"))
     )
     attempts = _billable_today(t, as_of).where(c("type").isin(*v.ATTEMPT_TYPES))
@@ -162,6 +162,8 @@ def volume_statistics(t: Tables, as_of: AsOf) -> DataFrame:
         .drop("cancellation_id")
     )
     places = zones(t)
+    parcels = t("parcels", "id as parcel_id", "order_id", "machine_dimensions_id as dimension_id")
+    row = ["parcel_id", "dimension_id", "buyer_id", "zone_city", "country", "order_id"]
     home = (
         attempts_on_day(t, as_of)
         .where((c("type") == v.DELIVERY) & c("cancellation_id").isNull())
@@ -169,7 +171,8 @@ def volume_statistics(t: Tables, as_of: AsOf) -> DataFrame:
         .join(t("parcel_consignments", "consignment_id", "parcel_id"), "consignment_id")
         .join(uncancelled, "order_id")
         .join(places.where(c("zone_type") == v.TO_DOOR), "zone_id")
-        .select("parcel_id", "buyer_id", "zone_city", "country", "order_id")
+        .join(parcels.drop("order_id"), "parcel_id")
+        .select(*row)
         .withColumn("delivery_type", F.lit("Home"))
     )
     due = t("locker_consignments", "order_id", "estimated_interval_id", "cancellation_id").where(
@@ -181,13 +184,12 @@ def volume_statistics(t: Tables, as_of: AsOf) -> DataFrame:
         .join(interval, "estimated_interval_id")
         .join(uncancelled, "order_id")
         .join(places.where(c("zone_type") == v.TO_LOCKER), "zone_id")
-        .join(t("parcels", "id as parcel_id", "order_id"), "order_id")
-        .select("parcel_id", "buyer_id", "zone_city", "country", "order_id")
+        .join(parcels, "order_id")
+        .select(*row)
         .withColumn("delivery_type", F.lit("Box"))
     )
-    measured = t("parcels", "id as parcel_id", "machine_dimensions_id as dimension_id")
     dimensions = t("dimensions", "id as dimension_id", "sorting_deviation")
-    rows = home.unionByName(box).distinct().join(measured, "parcel_id")
+    rows = home.unionByName(box).distinct()
     return (
         join_optional(rows, dimensions, "dimension_id", "parcel_id")
         .groupBy("buyer_id", "zone_city", "country", "delivery_type")

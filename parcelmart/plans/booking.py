@@ -37,7 +37,7 @@ def orders_booked_by_terminal_day(t: Tables, as_of: AsOf) -> DataFrame:
     booked = (
         _next_days(t, as_of, "cancellation_id")
         .join(_order_zones(t), "order_id")
-        .join(zone_terminals(t, v.TO_DOOR), "zone_id")
+        .join(zone_terminals(t, v.TO_DOOR, with_country=True), "zone_id")
     )
     on_stop = t("consumer_stop_consignments", "consignment_id")
     return (
@@ -143,7 +143,7 @@ def planned_attempts_by_terminal_day(t: Tables, as_of: AsOf) -> DataFrame:
     on_stop = t("consumer_stop_consignments", "consignment_id", "id as on_stop_id")
     return (
         planned.join(_order_zones(t), "order_id")
-        .join(zone_terminals(t, v.TO_DOOR), "zone_id")
+        .join(zone_terminals(t, v.TO_DOOR, with_country=True), "zone_id")
         .join(parcels, "consignment_id", "left")
         .join(on_stop, "consignment_id", "left")
         .groupBy("terminal_code", "terminal_country", "date")
@@ -211,7 +211,7 @@ def scheduled_by_group_merchant(t: Tables, as_of: AsOf) -> DataFrame:
         .where(on_or_between(c("date"), as_of.today, as_of.day(5)))
         .withColumn("weekday", F.upper(day_name(c("date"))))
         .join(_order_zones(t, "buyer_id"), "order_id")
-        .join(zone_terminals(t, v.TO_DOOR), "zone_id")
+        .join(zone_terminals(t, v.TO_DOOR, with_country=True), "zone_id")
         .join(schedule, slot)
     )
     merchants = buyer_names(t).where(~like_any_case(c("external_name"), v.BOX_MERCHANT_PATTERN))

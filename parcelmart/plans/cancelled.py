@@ -90,14 +90,14 @@ def _attempts_of_business_day(t: Tables, as_of: AsOf, *route_columns: str) -> Da
     ]
     home = (
         door_attempts(t, routes_due(t, today, v.DISTRIBUTION, *route_columns))
-        .join(zone_terminals(t, v.TO_DOOR), "zone_id")
+        .join(zone_terminals(t, v.TO_DOOR, with_country=True), "zone_id")
         .withColumn("attempts", F.lit(1))
         .withColumn("delivery_type", F.lit("Home"))
         .select(*keep)
     )
     box = (
         box_attempts(t, routes_due(t, today, v.LOCKER, *route_columns))
-        .join(zone_terminals(t, v.TO_LOCKER), "zone_id")
+        .join(zone_terminals(t, v.TO_LOCKER, with_country=True), "zone_id")
         .join(starts(t, "estimated_interval_id"), "estimated_interval_id")
         .withColumn("date", F.to_date("start_ts"))
         .withColumn("delivery_type", F.lit("Box"))

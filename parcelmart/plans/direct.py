@@ -383,7 +383,7 @@ def order_counts_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 def brand_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct part types of each brand as one ordered text."""
     return concat_distinct(
-        _read(spark, sf_dir, "part", "p_brand", "p_type"), ["p_brand"], "p_type", LIST_SEPARATOR
+        _read(spark, sf_dir, "part", "p_brand", "p_type"), ["p_brand"], ["p_type"], LIST_SEPARATOR
     )
 
 

@@ -167,33 +167,16 @@ def _by_type(delivery: str, collection: str):
     )
 
 
-def _consumer_stop_facts(t: Tables, legs: DataFrame) -> DataFrame:
-    """Per consumer stop and day: place, parcels, reports and measured times.
+def _with_stop_facts(t: Tables, sides: DataFrame) -> DataFrame:
+    """Add place, parcels, reports and measured times of each side's stop.
 
-    Each side of a leg is aggregated on its own before legs join, so the
-    parcels of one stop are never paired with those of the other.
+    A side is one end of a leg, so its consignments are joined to it alone
+    and never paired with those of the other end.  Ends at the terminal have
+    no stop id; their NULL keys are spread by ``leg_no``.
     """
-    wanted = (
-        legs.select(c("from_id").alias("stop_id"), "due_date")
-        .unionByName(legs.select(c("to_id").alias("stop_id"), "due_date"))
-        .where(c("stop_id").isNotNull())
-        .distinct()
-    )
     on_stop = t("consumer_stop_consignments", "consumer_stop_id as stop_id", "consignment_id")
     carried = t("parcel_consignments", "consignment_id", "parcel_id")
     parcels = t("parcels", "id as parcel_id", "type as parcel_type")
-    work = (
-        wanted.join(on_stop, "stop_id")
-        .join(carried, "consignment_id")
-        .join(parcels, "parcel_id")
-        .join(_reports_per_day(t), ["consignment_id", "due_date"], "left")
-        .groupBy("stop_id", "due_date")
-        .agg(
-            F.count_distinct("parcel_id").alias("num_parcels"),
-            F.min(_by_type("delivery_first", "collection_first")).alias("first_processed"),
-            F.max(_by_type("delivery_last", "collection_last")).alias("last_processed"),
-        )
-    )
     times = (
         t(
             "routeopt_service_time_data",
@@ -205,17 +188,25 @@ def _consumer_stop_facts(t: Tables, legs: DataFrame) -> DataFrame:
         .groupBy("stop_id")
         .agg(F.min("departure_time").alias("departure"), F.min("arrival_time").alias("arrival"))
     )
-    places = t("consumer_stops", "id as stop_id", "sequence", "address_id").join(
-        t("addresses", "id as address_id", "coordinate.x as x", "coordinate.y as y"),
-        "address_id",
-        "left",
-    )
-    return (
-        wanted.join(places, "stop_id")
-        .join(work, ["stop_id", "due_date"], "left")
-        .join(times, "stop_id", "left")
-        .drop("address_id")
-    )
+    stops = t("consumer_stops", "id as stop_id", "sequence", "address_id").withColumn(
+        "at_stop", F.lit(True)
+    )
+    places = t("addresses", "id as address_id", "coordinate.x as x", "coordinate.y as y")
+    facts = [*sides.columns, "at_stop", "sequence", "address_id", "departure", "arrival"]
+    rows = join_optional(sides, stops, "stop_id", "leg_no")
+    rows = join_optional(rows, times, "stop_id", "leg_no")
+    rows = join_optional(rows, on_stop, "stop_id", "leg_no")
+    rows = join_optional(rows, carried, "consignment_id", "leg_no")
+    rows = join_optional(rows, parcels, "parcel_id", "leg_no")
+    rows = join_optional(
+        rows, _reports_per_day(t), "consignment_id", "leg_no", also=["due_date"]
+    )
+    grouped = rows.groupBy(*facts).agg(
+        F.count_distinct("parcel_id").alias("num_parcels"),
+        F.min(_by_type("delivery_first", "collection_first")).alias("first_processed"),
+        F.max(_by_type("delivery_last", "collection_last")).alias("last_processed"),
+    )
+    return join_optional(grouped, places, "address_id", "leg_no")
 
 
 def _terminal_stop_facts(t: Tables) -> DataFrame:
@@ -299,34 +290,41 @@ def drive_legs(t: Tables, as_of: AsOf) -> DataFrame:
         "estimated_drive_time",
         "distance",
     )
+    ends = ["ts_id", "from_id", "to_id"]
+    leg = [*routes.columns, *ends, "leg_no", "router_drive_time", "distance"]
     legs = (
-        planned.join(routes.select("route_id", "due_date"), "route_id")
-        .groupBy("route_id", "due_date", "ts_id", "from_id", "to_id")
+        planned.join(routes, "route_id")
+        .groupBy(*routes.columns, *ends)
         .agg(
             F.min("estimated_drive_time").alias("router_drive_time"),
             F.min("distance").alias("distance"),
         )
-        .withColumn(
-            "leg_no", F.pmod(F.xxhash64("route_id", "ts_id", "from_id", "to_id"), F.lit(2**40))
-        )
-    )
-    facts = _consumer_stop_facts(t, legs)
+        .withColumn("leg_no", F.pmod(F.xxhash64("route_id", *ends), F.lit(2**40)))
+    )
+    sides = legs.select(
+        *leg, F.expr("stack(2, 'from', from_id, 'to', to_id) AS (side, stop_id)")
+    )
+    seen = [
+        "at_stop",
+        "sequence",
+        "x",
+        "y",
+        "departure",
+        "arrival",
+        "num_parcels",
+        "first_processed",
+        "last_processed",
+    ]
 
-    def side(name: str) -> DataFrame:
-        renamed = {
-            column: f"{name}_{column}" for column in facts.columns if column not in ("due_date",)
-        }
-        return facts.withColumnsRenamed(renamed).withColumnRenamed(f"{name}_stop_id", f"{name}_id_hit").withColumn(
-            f"{name}_id", c(f"{name}_id_hit")
-        )
+    def end(side: str):
+        return F.max(F.when(c("side") == side, F.struct(*seen))).alias(side)
 
-    joined = join_optional(legs, side("from"), "from_id", "leg_no", also=["due_date"])
-    joined = join_optional(joined, side("to"), "to_id", "leg_no", also=["due_date"])
-    joined = join_optional(joined, _terminal_stop_facts(t), "ts_id", "leg_no")
-    at_from, at_to = c("from_id_hit").isNotNull(), c("to_id_hit").isNotNull()
+    # Both ends of a leg come back together in one row.
+    both = _with_stop_facts(t, sides).groupBy(*leg).agg(end("from"), end("to"))
+    at_from, at_to = c("from.at_stop").isNotNull(), c("to.at_stop").isNotNull()
     factors = c("user_factor") * c("graph_factor")
     return (
-        joined.join(routes.drop("due_date"), "route_id")
+        join_optional(both, _terminal_stop_facts(t), "ts_id", "leg_no")
         .join(terminals, "terminal")
         .join(_drive_factors(t), "routeopt_route_id", "left")
         .select(
@@ -338,12 +336,12 @@ def drive_legs(t: Tables, as_of: AsOf) -> DataFrame:
             "vehicle_type",
             F.when(at_from, CONSUMER_STOP).otherwise(TERMINAL).alias("from_stop_type"),
             F.when(at_to, CONSUMER_STOP).otherwise(TERMINAL).alias("to_stop_type"),
-            F.coalesce("from_sequence", "ts_sequence").alias("from_sequence"),
-            F.coalesce("to_sequence", "ts_sequence").alias("to_sequence"),
-            F.when(at_from, c("from_x")).otherwise(c("ts_x")).alias("from_coord_x"),
-            F.when(at_from, c("from_y")).otherwise(c("ts_y")).alias("from_coord_y"),
-            F.when(at_to, c("to_x")).otherwise(c("ts_x")).alias("to_coord_x"),
-            F.when(at_to, c("to_y")).otherwise(c("ts_y")).alias("to_coord_y"),
+            F.coalesce("from.sequence", "ts_sequence").alias("from_sequence"),
+            F.coalesce("to.sequence", "ts_sequence").alias("to_sequence"),
+            F.when(at_from, c("from.x")).otherwise(c("ts_x")).alias("from_coord_x"),
+            F.when(at_from, c("from.y")).otherwise(c("ts_y")).alias("from_coord_y"),
+            F.when(at_to, c("to.x")).otherwise(c("ts_x")).alias("to_coord_x"),
+            F.when(at_to, c("to.y")).otherwise(c("ts_y")).alias("to_coord_y"),
             "country",
             "city",
             "postal_code",
@@ -353,15 +351,15 @@ def drive_legs(t: Tables, as_of: AsOf) -> DataFrame:
             ).alias("base_drive_time"),
             "router_drive_time",
             "distance",
-            F.coalesce("from_num_parcels", F.lit(0)).alias("from_num_parcels"),
-            F.coalesce("to_num_parcels", F.lit(0)).alias("to_num_parcels"),
-            c("from_last_processed").alias("from_cs_last_processed"),
-            c("to_first_processed").alias("to_cs_first_processed"),
+            c("from.num_parcels").alias("from_num_parcels"),
+            c("to.num_parcels").alias("to_num_parcels"),
+            c("from.last_processed").alias("from_cs_last_processed"),
+            c("to.first_processed").alias("to_cs_first_processed"),
             "ts_first_processed",
             "ts_last_processed",
-            F.when(at_from, c("from_departure"))
+            F.when(at_from, c("from.departure"))
             .otherwise(c("ts_departure"))
             .alias("departure_actual"),
-            F.when(at_to, c("to_arrival")).otherwise(c("ts_arrival")).alias("arrival_actual_next"),
+            F.when(at_to, c("to.arrival")).otherwise(c("ts_arrival")).alias("arrival_actual_next"),
         )
     )

@@ -31,11 +31,10 @@ from parcelmart.sources.tables import Tables
 c = F.col
 
 
-def _first_driver(t: Tables, routes: DataFrame) -> DataFrame:
+def _first_driver(t: Tables) -> DataFrame:
     """One driver per route (smallest id) with name and phone."""
     drivers = (
-        routes.select("route_id")
-        .join(t("user_routes", "route_id", "user_id"), "route_id")
+        t("user_routes", "route_id", "user_id")
         .groupBy("route_id")
         .agg(F.min("user_id").alias("user_id"))
     )
@@ -64,8 +63,7 @@ def plate_compare(t: Tables, as_of: AsOf) -> DataFrame:
         .where(c("routeopt_route_id").isNotNull())
     )
     photos = (
-        routes.select("route_id")
-        .join(t("route_vehicle_images", "route_id", "license_plate", "image_id"), "route_id")
+        t("route_vehicle_images", "route_id", "license_plate", "image_id")
         .groupBy("route_id")
         .agg(F.min(F.struct("image_id", "license_plate")).alias("photo"))
         .select(
@@ -96,7 +94,7 @@ def plate_compare(t: Tables, as_of: AsOf) -> DataFrame:
         .join(planned, "routeopt_route_id")
         .join(pairings, "pairing_id")
         .join(vehicles, "vehicle_id")
-        .join(_first_driver(t, routes), "route_id")
+        .join(_first_driver(t), "route_id")
         .join(couriers, "owner_operator_id")
         .join(cities, "city", "left")
         .join(images, "image_id", "left")
@@ -131,17 +129,15 @@ def loading_inspection(t: Tables, as_of: AsOf) -> DataFrame:
         "type",
         "routeopt_route_id",
     ).where((c("due_date") == F.lit(as_of.today)) & same_text(c("type"), "Distribution"))
+    stops = t("terminal_stops", "id as terminal_stop_id", "route_id", "estimated_interval_id")
+    used = keep(
+        routes.drop("due_date", "type").join(stops, "route_id"),
+        t("terminal_stop_consignments", "terminal_stop_id"),
+        ["terminal_stop_id"],
+    )
     loading = (
-        routes.select("route_id")
-        .join(
-            t("terminal_stops", "id as terminal_stop_id", "route_id", "estimated_interval_id"),
-            "route_id",
-        )
-        .transform(
-            lambda df: keep(df, t("terminal_stop_consignments", "terminal_stop_id"), ["terminal_stop_id"])
-        )
-        .join(starts(t, "estimated_interval_id"), "estimated_interval_id")
-        .groupBy("route_id")
+        used.join(starts(t, "estimated_interval_id"), "estimated_interval_id")
+        .groupBy("route_id", "cage_name", "city", "terminal", "routeopt_route_id")
         .agg(F.min("start_ts").alias("loading"))
     )
     couriers = (
@@ -154,11 +150,10 @@ def loading_inspection(t: Tables, as_of: AsOf) -> DataFrame:
         )
         .drop("owner_operator_id")
     )
-    drivers = _first_driver(t, routes).join(couriers, "user_id", "left")
+    drivers = _first_driver(t).join(couriers, "user_id", "left")
     planned = t("routeopt_routes", "id as routeopt_route_id", "optimization_id")
     return (
-        routes.join(loading, "route_id")
-        .join(planned, "routeopt_route_id")
+        loading.join(planned, "routeopt_route_id")
         .join(drivers, "route_id", "left")
         .select(
             clock_text(to_zone(c("loading"), "Europe/Stockholm")).alias("loading_time"),
@@ -291,15 +286,15 @@ def return_route_schedule(t: Tables, as_of: AsOf) -> DataFrame:
     unloading = t(
         "consumer_stop_consignments", "consumer_stop_id as stop_id", "consignment_id", "type"
     ).where(c("type") == v.UNLOADING)
+    route = ["route_id", "terminal", "owner_operator_id"]
     merchants = (
-        routes.select("route_id", "start_ts")
-        .join(stops, "route_id")
+        routes.join(stops, "route_id")
         .join(unloading.drop("type"), "stop_id")
         .join(t("consignments", "id as consignment_id", "order_id"), "consignment_id")
         .join(t("orders", "id as order_id", "buyer_id"), "order_id")
         .join(t("addresses", "id as address_id", "country_code"), "address_id")
         .withColumn("local_start", to_country_time(c("start_ts"), c("country_code")))
-        .groupBy("route_id", "buyer_id")
+        .groupBy(*route, "buyer_id")
         .agg(F.min("local_start").alias("loading_time"))
     )
     pallets = (
@@ -316,24 +311,18 @@ def return_route_schedule(t: Tables, as_of: AsOf) -> DataFrame:
         ["pallet_id"],
     )
     names = t("buyers", "id as buyer_id", "external_name as merchants")
-    rows = merchants.join(filled, "buyer_id").join(names, "buyer_id")
-    users = _first_driver(t, routes)
+    rows = (
+        merchants.join(filled, "buyer_id")
+        .join(names, "buyer_id")
+        .withColumnRenamed("identifier", "pallets")
+    )
+    couriers = t("owner_operators", "id as owner_operator_id", "name as courier")
     return (
-        rows.groupBy("route_id")
-        .agg(F.min("loading_time").alias("loading_time"))
-        .join(concat_distinct(rows, ["route_id"], "merchants", v.LIST_SEPARATOR), "route_id")
-        .join(
-            concat_distinct(
-                rows.withColumnRenamed("identifier", "pallets"),
-                ["route_id"],
-                "pallets",
-                v.LIST_SEPARATOR,
-            ),
-            "route_id",
+        concat_distinct(
+            rows, route, ["merchants", "pallets"], v.LIST_SEPARATOR, smallest=["loading_time"]
         )
-        .join(routes.select("route_id", "terminal", "owner_operator_id"), "route_id")
-        .join(t("owner_operators", "id as owner_operator_id", "name as courier"), "owner_operator_id")
-        .join(users, "route_id", "left")
+        .join(couriers, "owner_operator_id")
+        .join(_first_driver(t), "route_id", "left")
         .select(
             "route_id",
             "terminal",

@@ -32,27 +32,29 @@ def zones(t: Tables) -> DataFrame:
     )
 
 
-def terminals(t: Tables) -> DataFrame:
-    address = t("addresses", "id as address_id", "country_code as terminal_country")
-    return (
-        t(
-            "warehouses",
-            "id as terminal_id",
-            "code as terminal_code",
-            "name as terminal_name",
-            "address_id",
-        )
-        .join(address, "address_id")
-        .drop("address_id")
-    )
-
-
-def zone_terminals(t: Tables, zone_type: str | None = None) -> DataFrame:
+def terminals(t: Tables, with_country: bool = False) -> DataFrame:
+    """Terminals; the country costs a pass over the (large) address table."""
+    found = t(
+        "warehouses",
+        "id as terminal_id",
+        "code as terminal_code",
+        "name as terminal_name",
+        "address_id",
+    )
+    if with_country:
+        address = t("addresses", "id as address_id", "country_code as terminal_country")
+        found = found.join(address, "address_id")
+    return found.drop("address_id")
+
+
+def zone_terminals(
+    t: Tables, zone_type: str | None = None, with_country: bool = False
+) -> DataFrame:
     """Zones with the terminal that serves them: a small dimension."""
     places = zones(t)
     if zone_type:
         places = places.where(c("zone_type") == zone_type)
-    return places.join(terminals(t), "terminal_id")
+    return places.join(terminals(t, with_country), "terminal_id")
 
 
 def routes_due(t: Tables, due, route_type: str, *columns: str) -> DataFrame:
@@ -97,10 +99,9 @@ def box_attempts(t: Tables, routes: DataFrame) -> DataFrame:
     so stops and parcels are never paired row by row.
     """
     stops = (
-        routes.select("route_id")
-        .join(t("consumer_stops", "id as stop_id", "route_id"), "route_id")
+        routes.join(t("consumer_stops", "id as stop_id", "route_id"), "route_id")
         .join(t("locker_stops", "stop_id", "locker_id"), "stop_id")
-        .groupBy("route_id", "locker_id")
+        .groupBy(*routes.columns, "locker_id")
         .agg(F.count("*").alias("stops"))
     )
     pallets = t("locker_pallets", "id as locker_pallet_id", "route_id", "locker_id")
@@ -110,7 +111,7 @@ def box_attempts(t: Tables, routes: DataFrame) -> DataFrame:
         pallets.join(stops, ["route_id", "locker_id"])
         .join(on_pallet, "locker_pallet_id")
         .join(parcels, "parcel_id")
-        .groupBy("route_id", "order_id")
+        .groupBy(*routes.columns, "order_id")
         .agg(F.sum("stops").alias("attempts"))
     )
     attempts = t(
@@ -123,9 +124,7 @@ def box_attempts(t: Tables, routes: DataFrame) -> DataFrame:
         "miss_id",
     )
     orders = t("orders", "id as order_id", "delivery_postal_code_zone_id as zone_id")
-    return (
-        routes.join(carried, "route_id").join(orders, "order_id").join(attempts, "order_id")
-    )
+    return carried.join(orders, "order_id").join(attempts, "order_id")
 
 
 def starts(t: Tables, key: str) -> DataFrame:

@@ -23,7 +23,7 @@ SCANS = [
 ]
 
 
-def _open_orders(t: Tables, as_of: AsOf) -> DataFrame:
+def _open_orders(t: Tables, as_of: AsOf, with_country: bool = False) -> DataFrame:
     """Uncancelled orders of the last 14 days with zone and terminal."""
     return (
         t(
@@ -36,7 +36,7 @@ def _open_orders(t: Tables, as_of: AsOf) -> DataFrame:
         )
         .where(c("cancellation_id").isNull() & (c("created_at") >= ts_lit(as_of.day(-14))))
         .drop("cancellation_id")
-        .join(zone_terminals(t), "zone_id")
+        .join(zone_terminals(t, with_country=with_country), "zone_id")
     )
 
 
@@ -58,30 +58,38 @@ def _on_todays_pallets(t: Tables, as_of: AsOf) -> DataFrame:
 def unassigned_parcels(t: Tables, as_of: AsOf) -> DataFrame:
     """Parcels of orders that nobody has planned yet.
 
-    The home and the locker rule exclude each other, so each is its own chain
-    of anti joins; as one OR of NOT IN tests it could only run as a nested
-    loop.  Orders are filtered before their parcels join.
+    Home and locker orders are excluded by different tables.  An OR of NOT IN
+    tests could only run as a nested loop; here each exclusion names the zone
+    type it applies to, so all orders pass one anti join against planned
+    orders and their parcels one against placed parcels.
     """
-    orders = _open_orders(t, as_of)
-    parcels = t("parcels", "id as parcel_id", "order_id", "visible", "recall_requested_at")
-    home = (
-        exclude(
-            orders.where(c("zone_type") == v.TO_DOOR), _live_consignments(t), ["order_id"]
+    door, box = c("zone_type") == v.TO_DOOR, c("zone_type") == v.TO_LOCKER
+    planned = (
+        _live_consignments(t)
+        .select("order_id", F.lit(v.TO_DOOR).alias("zone_type"))
+        .unionByName(
+            t("locker_consignments", "order_id").withColumn("zone_type", F.lit(v.TO_LOCKER))
         )
-        .join(parcels.where(c("recall_requested_at").isNull()), "order_id")
-        .withColumn("delivery_type", F.lit("HOME"))
     )
-    box_orders = orders.where(
-        (c("zone_type") == v.TO_LOCKER) & ~c("buyer_id").isin(*v.UNASSIGNED_EXCLUDED_BUYERS)
+    placed = (
+        t("parcel_box_assignments", "parcel_id")
+        .unionByName(_on_todays_pallets(t, as_of))
+        .withColumn("zone_type", F.lit(v.TO_LOCKER))
     )
-    box = exclude(box_orders, t("locker_consignments", "order_id"), ["order_id"]).join(
-        parcels, "order_id"
+    orders = _open_orders(t, as_of).where(
+        door | (box & ~c("buyer_id").isin(*v.UNASSIGNED_EXCLUDED_BUYERS))
     )
-    box = exclude(box, t("parcel_box_assignments", "parcel_id"), ["parcel_id"])
-    box = exclude(box, _on_todays_pallets(t, as_of), ["parcel_id"]).withColumn(
-        "delivery_type", F.lit("BOX")
+    parcels = t("parcels", "id as parcel_id", "order_id", "visible", "recall_requested_at")
+    unplanned = (
+        exclude(orders, planned, ["order_id", "zone_type"])
+        .join(parcels, "order_id")
+        .where(box | c("recall_requested_at").isNull())
+    )
+    return (
+        exclude(unplanned, placed, ["parcel_id", "zone_type"])
+        .withColumn("delivery_type", F.when(door, "HOME").otherwise("BOX"))
+        .drop("recall_requested_at")
     )
-    return home.unionByName(box).drop("recall_requested_at")
 
 
 def _scan_places(t: Tables) -> DataFrame:
@@ -185,7 +193,7 @@ def orders_not_assigned_union(t: Tables, as_of: AsOf) -> DataFrame:
     )
     merchants = t("buyers", "id as buyer_id", "external_name as merchant")
     parcels = t("parcels", "id as parcel_id", "order_id", "visible", "recall_requested_at")
-    orders = _open_orders(t, as_of)
+    orders = _open_orders(t, as_of, with_country=True)
     home = (
         marked(
             orders.where(c("zone_type") == v.TO_DOOR), _live_consignments(t), "order_id", "planned"

@@ -2,12 +2,9 @@
 
 The operational schema has no public data, so every table is computed by Spark
 from the given files with fixed integer expressions (order key ``k``, nation
-key ``nk`` of its customer).  Marts run on it exactly as on real tables.  The
-expressions are listed in FIXTURES.md section D; tables missing there are
-derived in the same style here.
-
-A derivation reads only the files its wanted columns need: an order's zone
-needs the customer table, its creation time does not.
+key ``nk``).  Marts run on it exactly as on real tables.  The expressions are
+listed in FIXTURES.md section D; tables missing there are derived in the same
+style here.
 """
 
 from __future__ import annotations
@@ -81,21 +78,20 @@ class StandInTables(Tables):
 
     # Building blocks -----------------------------------------------------
 
-    def _base(self, nation: bool = False, where: str = "true") -> DataFrame:
-        """One row per order: k, buyer, priority, created, d and, if asked, nk."""
-        base = (
+    def _base(self, where: str = "true") -> DataFrame:
+        """One row per order: k, buyer, nk, priority, created, d."""
+        return (
             self.raw("orders")
-            .selectExpr("o_orderkey AS k", "o_custkey AS buyer", "o_orderpriority AS priority")
+            .selectExpr(
+                "o_orderkey AS k",
+                "o_custkey AS buyer",
+                "o_custkey % 25 AS nk",
+                "o_orderpriority AS priority",
+            )
             .where(where)
             .selectExpr("*", f"{created('k')} AS created")
             .selectExpr("*", f"{DAY} AS d")
         )
-        if nation:
-            customer = self.raw("customer").selectExpr(
-                "c_custkey AS buyer", "CAST(c_nationkey AS BIGINT) AS nk"
-            )
-            base = base.join(customer, "buyer")
-        return base
 
     def _items(self, where: str = "true") -> DataFrame:
         """Distinct (l_orderkey, l_partkey): one row per parcel."""
@@ -145,12 +141,11 @@ class StandInTables(Tables):
     # Orders and parcels --------------------------------------------------
 
     def _orders(self, wanted: frozenset[str]) -> DataFrame:
-        nation = "delivery_postal_code_zone_id" in wanted
-        return self._base(nation).selectExpr(
+        return self._base().selectExpr(
             "k AS id",
             "buyer AS buyer_id",
             "created AS created_at",
-            *(["200 + 2 * nk + k % 2 AS delivery_postal_code_zone_id"] if nation else []),
+            "200 + 2 * nk + k % 2 AS delivery_postal_code_zone_id",
             "IF(k % 2 = 1, k % 25 + 1, NULL) AS locker_id",
             "IF(k % 37 = 0, k, NULL) AS cancellation_id",
             "concat('T', k) AS token",
@@ -158,7 +153,7 @@ class StandInTables(Tables):
         )
 
     def _consignments(self, wanted: frozenset[str]) -> DataFrame:
-        return self._base(where=DOOR).selectExpr(
+        return self._base(DOOR).selectExpr(
             "k AS id",
             "k AS order_id",
             "d AS date",
@@ -170,7 +165,7 @@ class StandInTables(Tables):
         )
 
     def _locker_consignments(self, wanted: frozenset[str]) -> DataFrame:
-        return self._base(where=BOX).selectExpr(
+        return self._base(BOX).selectExpr(
             "k AS id",
             "k AS order_id",
             "k AS estimated_interval_id",
@@ -182,7 +177,7 @@ class StandInTables(Tables):
 
     def _cancellations(self, wanted: frozenset[str]) -> DataFrame:
         category = pick(CANCELLATION_CATEGORIES, f"(k div 11) % {len(CANCELLATION_CATEGORIES)}")
-        return self._base(where=f"k % 37 = 0 OR (k % 11 = 0 AND {PLANNED})").selectExpr(
+        return self._base(f"k % 37 = 0 OR (k % 11 = 0 AND {PLANNED})").selectExpr(
             "k AS id",
             f"{category} AS cancellation_category",
             "timestampadd(HOUR, CAST(k % 48 - 24 AS INT), CAST(d AS TIMESTAMP_NTZ)) AS date",
@@ -190,17 +185,17 @@ class StandInTables(Tables):
 
     def _misses(self, wanted: frozenset[str]) -> DataFrame:
         category = pick(MISS_CATEGORIES, f"(k div 13) % {len(MISS_CATEGORIES)}")
-        return self._base(where=f"k % 13 = 0 AND {PLANNED}").selectExpr(
+        return self._base(f"k % 13 = 0 AND {PLANNED}").selectExpr(
             "k AS id", f"{category} AS category"
         )
 
     def _intervals(self, wanted: frozenset[str]) -> DataFrame:
-        return self._base(where=PLANNED).selectExpr(
+        return self._base(PLANNED).selectExpr(
             "k AS id", "2 * k AS start_timestamp_id", "2 * k + 1 AS stop_timestamp_id"
         )
 
     def _timestamps(self, wanted: frozenset[str]) -> DataFrame:
-        return self._base(where=PLANNED).selectExpr(
+        return self._base(PLANNED).selectExpr(
             "stack(2,"
             " 2 * k, timestampadd(HOUR, CAST(8 + k % 8 AS INT), CAST(d AS TIMESTAMP_NTZ)),"
             " 2 * k + 1, timestampadd(HOUR, CAST(10 + k % 8 AS INT), CAST(d AS TIMESTAMP_NTZ)))"
@@ -208,7 +203,7 @@ class StandInTables(Tables):
         )
 
     def _interval_bounds(self, wanted: frozenset[str]) -> DataFrame:
-        return self._base(where=PLANNED).selectExpr(
+        return self._base(PLANNED).selectExpr(
             "k AS id",
             "timestampadd(HOUR, CAST(8 + k % 8 AS INT), CAST(d AS TIMESTAMP_NTZ)) AS start_ts",
             "timestampadd(HOUR, CAST(10 + k % 8 AS INT), CAST(d AS TIMESTAMP_NTZ)) AS stop_ts",
@@ -253,7 +248,7 @@ class StandInTables(Tables):
 
     def _parcel_box_assignments(self, wanted: frozenset[str]) -> DataFrame:
         # k % 4 = 1 are locker orders; the parcel comes from their items.
-        base = self._base(where="k % 4 = 1").join(self._first_parcel("k % 4 = 1"), "k")
+        base = self._base("k % 4 = 1").join(self._first_parcel("k % 4 = 1"), "k")
         return base.selectExpr(
             "k AS id",
             "parcel_id",
@@ -265,7 +260,7 @@ class StandInTables(Tables):
         )
 
     def _ratings(self, wanted: frozenset[str]) -> DataFrame:
-        return self._base(where=f"k % 3 = 0 AND {DOOR}").selectExpr(
+        return self._base(f"k % 3 = 0 AND {DOOR}").selectExpr(
             "k AS id",
             "k AS consignment_id",
             "CAST(1 + k % 5 AS INT) AS score",
@@ -273,7 +268,7 @@ class StandInTables(Tables):
         )
 
     def _slot_payments(self, wanted: frozenset[str]) -> DataFrame:
-        return self._base(where=DOOR).selectExpr(
+        return self._base(DOOR).selectExpr(
             "k AS consignment_id",
             "IF(k % 4 = 0, 'COMPLETED', 'PENDING') AS status",
             "IF(k % 12 = 0, 'TIMESLOT', 'HOME') AS purchase_type",
@@ -286,17 +281,17 @@ class StandInTables(Tables):
         )
 
     def _on_demand_pickups(self, wanted: frozenset[str]) -> DataFrame:
-        return self._base(where="k % 6 = 0").selectExpr(
+        return self._base("k % 6 = 0").selectExpr(
             "k AS order_id", "CAST(1 + k % 9 AS INT) AS estimated_parcels"
         )
 
     # Routes, stops, pallets ----------------------------------------------
 
     def _routes(self, wanted: frozenset[str]) -> DataFrame:
-        planned = self._base(nation=True, where=PLANNED).selectExpr(
+        planned = self._base(PLANNED).selectExpr(
             f"{ROUTE} AS id", "d", "nk % 7 AS terminal", "IF(k % 2 = 0, 0, 1) AS kind"
         )
-        merchant = self._base(nation=True, where=f"{ON_MERCHANT_STOP} AND {DOOR}").selectExpr(
+        merchant = self._base(f"{ON_MERCHANT_STOP} AND {DOOR}").selectExpr(
             f"{MERCHANT_ROUTE} AS id", "d", "nk % 7 AS terminal", "2 AS kind"
         )
         return (
@@ -316,25 +311,22 @@ class StandInTables(Tables):
         )
 
     def _consumer_stops(self, wanted: frozenset[str]) -> DataFrame:
-        nation = "route_id" in wanted
         tail = [
             "CAST(k * 31 % 1009 AS INT) AS sequence",
             "1000 + k % 200 AS address_id",
             "k AS estimated_interval_id",
         ]
-        route = [f"{ROUTE} AS route_id"] if nation else []
-        merchant_route = [f"{MERCHANT_ROUTE} AS route_id"] if nation else []
-        planned = self._base(nation, PLANNED).selectExpr("k AS id", *route, *tail)
-        merchant = self._base(nation, f"{ON_MERCHANT_STOP} AND {DOOR}").selectExpr(
-            f"{MERCHANT_STOP} + k AS id", *merchant_route, *tail
+        planned = self._base(PLANNED).selectExpr("k AS id", f"{ROUTE} AS route_id", *tail)
+        merchant = self._base(f"{ON_MERCHANT_STOP} AND {DOOR}").selectExpr(
+            f"{MERCHANT_STOP} + k AS id", f"{MERCHANT_ROUTE} AS route_id", *tail
         )
         return planned.unionByName(merchant)
 
     def _consumer_stop_consignments(self, wanted: frozenset[str]) -> DataFrame:
-        planned = self._base(where=f"{ON_STOP} AND {DOOR}").selectExpr(
+        planned = self._base(f"{ON_STOP} AND {DOOR}").selectExpr(
             "k AS id", "k AS consumer_stop_id", "k AS consignment_id", "'DELIVERY' AS type"
         )
-        merchant = self._base(where=f"{ON_MERCHANT_STOP} AND {DOOR}").selectExpr(
+        merchant = self._base(f"{ON_MERCHANT_STOP} AND {DOOR}").selectExpr(
             f"{MERCHANT_STOP} + k AS id",
             f"{MERCHANT_STOP} + k AS consumer_stop_id",
             "k AS consignment_id",
@@ -344,8 +336,8 @@ class StandInTables(Tables):
 
     def _terminal_stops(self, wanted: frozenset[str]) -> DataFrame:
         """Two per route: loading (earliest interval) and return (latest)."""
-        planned = self._base(nation=True, where=PLANNED).selectExpr(f"{ROUTE} AS route_id", "nk", "k")
-        merchant = self._base(nation=True, where=f"{ON_MERCHANT_STOP} AND {DOOR}").selectExpr(
+        planned = self._base(PLANNED).selectExpr(f"{ROUTE} AS route_id", "nk", "k")
+        merchant = self._base(f"{ON_MERCHANT_STOP} AND {DOOR}").selectExpr(
             f"{MERCHANT_ROUTE} AS route_id", "nk", "k"
         )
         ends = (
@@ -362,23 +354,23 @@ class StandInTables(Tables):
         ).selectExpr("route_id * 10 + sequence AS id", "*")
 
     def _terminal_stop_consignments(self, wanted: frozenset[str]) -> DataFrame:
-        return self._base(nation=True, where=f"{ON_STOP} AND {DOOR}").selectExpr(
+        return self._base(f"{ON_STOP} AND {DOOR}").selectExpr(
             f"({ROUTE}) * 10 + 1 AS terminal_stop_id", "k AS consignment_id"
         )
 
     def _locker_stops(self, wanted: frozenset[str]) -> DataFrame:
-        return self._base(where=BOX).selectExpr("k AS stop_id", "k % 25 + 1 AS locker_id")
+        return self._base(BOX).selectExpr("k AS stop_id", "k % 25 + 1 AS locker_id")
 
     def _locker_pallets(self, wanted: frozenset[str]) -> DataFrame:
         return (
-            self._base(nation=True, where=f"{BOX} AND k % 5 <> 0")
+            self._base(f"{BOX} AND k % 5 <> 0")
             .selectExpr(f"{ROUTE} AS route_id", "k % 25 + 1 AS locker_id")
             .distinct()
             .selectExpr("route_id * 100 + locker_id AS id", "route_id", "locker_id")
         )
 
     def _locker_pallet_parcels(self, wanted: frozenset[str]) -> DataFrame:
-        orders = self._base(nation=True, where=f"{BOX} AND k % 5 <> 0").selectExpr(
+        orders = self._base(f"{BOX} AND k % 5 <> 0").selectExpr(
             "k AS l_orderkey", f"({ROUTE}) * 100 + k % 25 + 1 AS locker_pallet_id"
         )
         return (
@@ -395,7 +387,7 @@ class StandInTables(Tables):
         )
 
     def _pallet_parcels(self, wanted: frozenset[str]) -> DataFrame:
-        orders = self._base(where="k % 5 = 0").selectExpr("k AS l_orderkey", "buyer AS pallet_id")
+        orders = self._base("k % 5 = 0").selectExpr("k AS l_orderkey", "buyer AS pallet_id")
         return (
             self._items("l_orderkey % 5 = 0")
             .join(orders, "l_orderkey")
@@ -415,7 +407,7 @@ class StandInTables(Tables):
             "event_id - event_id % 2 + (event_id div 2) % 2 AS k", "user_id"
         )
         return (
-            self._base(nation=True, where=PLANNED)
+            self._base(PLANNED)
             .join(seen, "k")
             .selectExpr(
                 f"explode(array({ROUTE}, IF({ON_MERCHANT_STOP}, {MERCHANT_ROUTE}, {ROUTE})))"
@@ -447,10 +439,10 @@ class StandInTables(Tables):
             "id", "concat('https://images.example/', id, '.jpg') AS url"
         )
 
-    def _service_rows(self, nation: bool) -> DataFrame:
+    def _service_rows(self) -> DataFrame:
         start = "timestampadd(HOUR, CAST(8 + k % 8 AS INT), CAST(d AS TIMESTAMP_NTZ))"
-        return self._base(nation, PLANNED).selectExpr(
-            *([f"{ROUTE} AS route_id"] if nation else []),
+        return self._base(PLANNED).selectExpr(
+            f"{ROUTE} AS route_id",
             "k AS consumer_stop_id",
             "CAST(NULL AS BIGINT) AS terminal_stop_id",
             f"timestampadd(MINUTE, CAST(k * 17 % 91 - 45 AS INT), {start}) AS arrival_time",
@@ -460,7 +452,7 @@ class StandInTables(Tables):
     def _routeopt_service_time_data(self, wanted: frozenset[str]) -> DataFrame:
         if "terminal_stop_id" not in wanted and "route_id" not in wanted:
             # Terminal rows have no consumer stop and cannot match one.
-            return self._service_rows(nation=False)
+            return self._service_rows()
         day = "CAST(date_add(DATE '1990-01-01', CAST(route_id div 100 AS INT)) AS TIMESTAMP_NTZ)"
         terminal = self._terminal_stops(frozenset()).selectExpr(
             "route_id",
@@ -469,11 +461,11 @@ class StandInTables(Tables):
             f"timestampadd(MINUTE, 360 + 600 * (sequence - 1), {day}) AS arrival_time",
             f"timestampadd(MINUTE, 390 + 600 * (sequence - 1), {day}) AS departure_time",
         )
-        return self._service_rows(nation=True).unionByName(terminal)
+        return self._service_rows().unionByName(terminal)
 
     def _routeopt_drive_time_data(self, wanted: frozenset[str]) -> DataFrame:
         """Legs: terminal to stop, stop to terminal, stop to stop by k % 3."""
-        return self._base(nation=True, where=f"{ON_STOP} AND {DOOR}").selectExpr(
+        return self._base(f"{ON_STOP} AND {DOOR}").selectExpr(
             f"{ROUTE} AS route_id",
             "IF(k % 3 = 0, NULL, k) AS from_consumer_stop_id",
             "CASE k % 3 WHEN 0 THEN k WHEN 1 THEN NULL ELSE k + 2 END AS to_consumer_stop_id",
