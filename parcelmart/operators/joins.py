@@ -62,14 +62,20 @@ def flag(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str) -> D
 
 
 def join_optional(
-    left: DataFrame, right: DataFrame, key: str, spread_by: str, also: Sequence[str] = ()
+    left: DataFrame,
+    right: DataFrame | Sequence[DataFrame],
+    key: str,
+    spread_by: str,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Left join on a mostly NULL foreign key (and further keys ``also``).
 
     All NULL keys would hash to one partition.  They get a stand-in key made
     of the row's own id instead (negative, so it can match no surrogate id),
-    which spreads them evenly.
+    which spreads them evenly.  Several right sides share one shuffle of the
+    left side.
     """
-    spread = left.withColumn("_key", F.coalesce(F.col(key), -1 - F.col(spread_by)))
-    target = right.withColumnRenamed(key, "_key")
-    return spread.join(target, ["_key", *also], "left").drop("_key")
+    joined = left.withColumn("_key", F.coalesce(F.col(key), -1 - F.col(spread_by)))
+    for side in [right] if isinstance(right, DataFrame) else right:
+        joined = joined.join(side.withColumnRenamed(key, "_key"), ["_key", *also], "left")
+    return joined.drop("_key")

@@ -24,25 +24,31 @@ def previous_row(
     slice, and the first row of a slice takes the last row of the slice
     before it, found among the last rows of all slices.
 
-    Both uses of the slices read the same columns, so that Spark shuffles
-    (and computes) the input once and reuses it.
+    Both uses of the slices read the same packed rows, so Spark shuffles (and
+    computes) the input once and reuses it.  Rows without a key are left out.
     """
-    whole = F.struct(*df.columns)
-    sliced = df.withColumn("_slice", F.floor(F.col(order) / width))
+    known = df
+    for key in keys:
+        known = known.where(F.col(key).isNotNull())
+    sort_columns = dict.fromkeys([*keys, order, *tie_breaks])
+    packed = known.select(
+        *sort_columns,
+        F.floor(F.col(order) / width).alias("_slice"),
+        F.struct(*df.columns).alias("_row"),
+    )
     inside = Window.partitionBy(*keys, "_slice").orderBy(order, *tie_breaks)
     across = Window.partitionBy(*keys).orderBy("_slice")
-    linked = sliced.withColumn("_near", F.lag(whole).over(inside)).withColumn(
-        "_is_end", F.lead(F.lit(True), 1, False).over(inside) == F.lit(False)
-    )
+    is_end = F.lead(F.lit(False), 1, True).over(inside)
     ends = (
-        linked.where("_is_end")
-        .select(*keys, "_slice", F.lag(whole).over(across).alias("_far"))
+        packed.withColumn("_is_end", is_end)
+        .where("_is_end")
+        .select(*keys, "_slice", F.lag("_row").over(across).alias("_far"))
         .where(F.col("_far").isNotNull())
     )
     before = F.coalesce(F.col("_near"), F.col("_far"))
     picked = F.struct(*[before[column].alias(column) for column in carry])
     return (
-        linked.join(ends, [*keys, "_slice"], "left")
-        .withColumn(name, F.when(before.isNotNull(), picked))
-        .drop("_slice", "_near", "_far", "_is_end")
+        packed.withColumn("_near", F.lag("_row").over(inside))
+        .join(ends, [*keys, "_slice"], "left")
+        .select("_row.*", F.when(before.isNotNull(), picked).alias(name))
     )

@@ -193,9 +193,7 @@ def _with_stop_facts(t: Tables, sides: DataFrame) -> DataFrame:
     )
     places = t("addresses", "id as address_id", "coordinate.x as x", "coordinate.y as y")
     facts = [*sides.columns, "at_stop", "sequence", "address_id", "departure", "arrival"]
-    rows = join_optional(sides, stops, "stop_id", "leg_no")
-    rows = join_optional(rows, times, "stop_id", "leg_no")
-    rows = join_optional(rows, on_stop, "stop_id", "leg_no")
+    rows = join_optional(sides, [stops, times, on_stop], "stop_id", "leg_no")
     rows = join_optional(rows, carried, "consignment_id", "leg_no")
     rows = join_optional(rows, parcels, "parcel_id", "leg_no")
     rows = join_optional(
