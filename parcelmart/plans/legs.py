@@ -161,6 +161,12 @@ def _reports_per_day(t: Tables) -> DataFrame:
     )
 
 
+def _typed_parcels(t: Tables) -> DataFrame:
+    """Parcels of consignments with their type."""
+    carried = t("parcel_consignments", "consignment_id", "parcel_id")
+    return carried.join(t("parcels", "id as parcel_id", "type as parcel_type"), "parcel_id")
+
+
 def _by_type(delivery: str, collection: str):
     return F.when(c("parcel_type") == v.DELIVERY, c(delivery)).when(
         c("parcel_type") == v.RETURN, c(collection)
@@ -175,8 +181,6 @@ def _with_stop_facts(t: Tables, sides: DataFrame) -> DataFrame:
     no stop id; their NULL keys are spread by ``leg_no``.
     """
     on_stop = t("consumer_stop_consignments", "consumer_stop_id as stop_id", "consignment_id")
-    carried = t("parcel_consignments", "consignment_id", "parcel_id")
-    parcels = t("parcels", "id as parcel_id", "type as parcel_type")
     times = (
         t(
             "routeopt_service_time_data",
@@ -194,8 +198,7 @@ def _with_stop_facts(t: Tables, sides: DataFrame) -> DataFrame:
     places = t("addresses", "id as address_id", "coordinate.x as x", "coordinate.y as y")
     facts = [*sides.columns, "at_stop", "sequence", "address_id", "departure", "arrival"]
     rows = join_optional(sides, [stops, times, on_stop], "stop_id", "leg_no")
-    rows = join_optional(rows, carried, "consignment_id", "leg_no")
-    rows = join_optional(rows, parcels, "parcel_id", "leg_no")
+    rows = join_optional(rows, _typed_parcels(t), "consignment_id", "leg_no")
     rows = join_optional(
         rows, _reports_per_day(t), "consignment_id", "leg_no", also=["due_date"]
     )
@@ -220,12 +223,7 @@ def _terminal_stop_facts(t: Tables) -> DataFrame:
         F.min(labelled).alias("collection_first"),
         F.max(labelled).alias("collection_last"),
     )
-    types = (
-        t("parcel_consignments", "consignment_id", "parcel_id")
-        .join(t("parcels", "id as parcel_id", "type as parcel_type"), "parcel_id")
-        .select("consignment_id", "parcel_type")
-        .distinct()
-    )
+    types = _typed_parcels(t).select("consignment_id", "parcel_type").distinct()
     work = (
         t("terminal_stop_consignments", "terminal_stop_id as ts_id", "consignment_id")
         .join(reports, "consignment_id")

@@ -269,10 +269,8 @@ def eta_vs_arrival_city(t: Tables, as_of: AsOf) -> DataFrame:
     routes = routes_due(t, lambda due: due > F.lit(as_of.day(-7)), v.DISTRIBUTION, "city")
     whole = exclude(routes, t("route_history", "route_child_id as route_id"), ["route_id"])
     drivers = t("user_routes", "route_id", "user_id")
-    eta = (
-        t("consumer_stops", "id as stop_id", "estimated_interval_id")
-        .join(starts(t, "estimated_interval_id"), "estimated_interval_id")
-        .select("stop_id", "start_ts")
+    eta = t("consumer_stops", "id as stop_id", "route_id", "estimated_interval_id").join(
+        starts(t, "estimated_interval_id"), "estimated_interval_id"
     )
     on_stop = t("consumer_stop_consignments", "consumer_stop_id as stop_id", "consignment_id")
     attempts = (
@@ -292,18 +290,18 @@ def eta_vs_arrival_city(t: Tables, as_of: AsOf) -> DataFrame:
         ((c("type") == v.DELIVERY) & c("status").isin(v.DELIVERED, v.MISSED))
         | ((c("type") == v.RETURN) & (c("status") == v.COLLECTED))
     )
-    stops = t("consumer_stops", "id as stop_id", "route_id")
     difference = seconds_of_day(c("start_ts")) - seconds_of_day(c("reported_at"))
+    # Drivers join by route and user at once: joined by route alone they would
+    # multiply all attempts of the route.
     return (
-        whole.join(drivers, "route_id")
-        .join(stops, "route_id")
+        whole.join(eta, "route_id")
         .join(on_stop, "stop_id")
         .join(attempts, "consignment_id")
-        .join(updates, ["consignment_id", "user_id"])
+        .join(updates, "consignment_id")
         .where(matching)
-        .join(eta, "stop_id")
         .withColumn("late", difference)
         .where(F.abs(c("late")) < 3 * 3600)
+        .join(drivers, ["route_id", "user_id"])
         .join(t("parcel_consignments", "consignment_id"), "consignment_id")
         .join(orders, "order_id")
         .join(zones(t).select("zone_id", "country"), "zone_id")
