@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="parcelmart-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
 
@@ -21,9 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="parcelmart-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return _local_folder()
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
