@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm import curriculum, simhash_dedup
-from parcelmart.llm.common import table
+from parcelmart.llm import curriculum, huffman_ids, simhash_dedup
+from parcelmart.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,7 +26,15 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and checksum of every document's ids, read back from the files."""
+    folder = shared_path(spark, "token-files")
+    huffman_ids.write(table(spark, sf_dir, "documents"), folder, huffman_ids.tokenizer_path())
+    return huffman_ids.read(spark, folder)
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_token_ids": op3_token_ids,
     "op10_mix_sources": op10_mix_sources,
 }
