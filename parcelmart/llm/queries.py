@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm import curriculum, huffman_ids, simhash_dedup
+from parcelmart.llm import curriculum, huffman_ids, order_minhash, simhash_dedup
 from parcelmart.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", first.alias("first_position"))
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and their likeness."""
+    return order_minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -34,6 +39,7 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_order_minhash": op1_order_minhash,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_token_ids": op3_token_ids,
     "op10_mix_sources": op10_mix_sources,
