@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm import curriculum, huffman_ids, order_minhash, simhash_dedup
+from parcelmart.llm import curriculum, huffman_ids, order_minhash, simhash_dedup, warc_index
 from parcelmart.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of all pages, read back from the archives, in index order."""
+    folder = shared_path(spark, "warc")
+    warc_index.write_archives(table(spark, sf_dir, "pages"), folder)
+    index = warc_index.capture_index(spark, folder)
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the mix, and when its first copy comes."""
     mixed = curriculum.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -42,5 +50,6 @@ QUERIES: dict[str, Query] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_token_ids": op3_token_ids,
+    "op7_warc_index": op7_warc_index,
     "op10_mix_sources": op10_mix_sources,
 }
