@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm import curriculum, huffman_ids, order_minhash, simhash_dedup, warc_index
-from parcelmart.llm.common import shared_path, table
+from parcelmart.llm import chat_tokens, curriculum, huffman_ids, order_minhash, simhash_dedup, warc_index
+from parcelmart.llm.common import shared_path, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,15 @@ def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all formatted conversations and of one that is full of control strings."""
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(probe)
+    path = huffman_ids.tokenizer_path()
+    return chat_tokens.read_back(stage(chat_tokens.format_turns(turns, path), "chat"), path)
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the mix, and when its first copy comes."""
     mixed = curriculum.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -51,5 +60,6 @@ QUERIES: dict[str, Query] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_token_ids": op3_token_ids,
     "op7_warc_index": op7_warc_index,
+    "op8_chat_format": op8_chat_format,
     "op10_mix_sources": op10_mix_sources,
 }
