@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm import chat_tokens, curriculum, gam_quality, huffman_ids, order_minhash, simhash_dedup, warc_index
+from parcelmart.llm import chat_tokens, curriculum, decontaminate, gam_quality, huffman_ids, order_minhash, simhash_dedup, warc_index
 from parcelmart.llm.common import shared_path, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item with a window like it."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; a third of the labels is never learnt from."""
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
@@ -66,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_token_ids": op3_token_ids,
+    "op4_decontaminate": op4_decontaminate,
     "op5_quality_gam": op5_quality_gam,
     "op7_warc_index": op7_warc_index,
     "op8_chat_format": op8_chat_format,
