@@ -1,11 +1,31 @@
-"""A training corpus from `documents`: five stages, each one operator."""
+"""A training corpus from `documents`: five stages, each one operator of parcelmart.llm.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor
+kept; all but the last return the columns of `documents`. Null texts, repeated
+rows and empty tables follow the operators' own definitions.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelmart.llm import curriculum
-from parcelmart.llm.common import quoted, stage, table
+from parcelmart.llm import curriculum, decontaminate, gam_quality, huffman_ids, simhash_dedup
+from parcelmart.llm.common import quoted, shared_path, stage, table
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the quality classifier accepts."""
+    return gam_quality.good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash_dedup.one_of_each(docs)
+
+
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage like a benchmark item."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,10 +34,23 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return ordered.select(*(quoted(c) for c in docs.columns))
 
 
+def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of all documents; per document its place and checksum, read back."""
+    folder = shared_path(spark, "token-files")
+    path = huffman_ids.tokenizer_path()
+    huffman_ids.write(docs, folder, path)
+    return huffman_ids.read(spark, folder)
+
+
 STAGES = [
+    ("quality classifier", keep_good),
+    ("SimHash near-dedup", keep_one_of_each),
+    ("benchmark decontamination", keep_uncontaminated),
     ("mixing sources to target weights", mix_sources),
+    ("token-ID / binary output", write_token_ids),
 ]
 
+# The classifier, the fingerprints and the tokenizer are beyond SQL.
 ORACLE_SQL = None
 
 
