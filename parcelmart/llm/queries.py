@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm import chat_tokens, curriculum, decontaminate, gam_quality, huffman_ids, order_minhash, simhash_dedup, warc_index
+from parcelmart.llm import chat_tokens, curriculum, decontaminate, gam_quality, html_wrappers, huffman_ids, order_minhash, simhash_dedup, warc_index
 from parcelmart.llm.common import shared_path, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,11 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_tokens.read_back(stage(chat_tokens.format_turns(turns, path), "chat"), path)
 
 
+def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the mix, and when its first copy comes."""
     mixed = curriculum.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -75,5 +80,6 @@ QUERIES: dict[str, Query] = {
     "op5_quality_gam": op5_quality_gam,
     "op7_warc_index": op7_warc_index,
     "op8_chat_format": op8_chat_format,
+    "op9_html_main_text": op9_html_main_text,
     "op10_mix_sources": op10_mix_sources,
 }
