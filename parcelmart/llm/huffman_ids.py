@@ -38,17 +38,20 @@ from pyspark.sql import functions as F
 from parcelmart.llm.common import parallelism, stage
 
 END_ID = 2
-BLOCK = 1 << 17
+BLOCK = 1 << 18
 STEP = 128
-LIMIT = 18
+LIMIT = 17
 # Pieces kept by a worker, and their longest length in characters.
-CACHE_PIECES, CACHE_CHARS = 600_000, 48
-BATCH_CHARS = 1 << 20
+CACHE_PIECES, CACHE_CHARS = 1_000_000, 48
+BATCH_CHARS = 1 << 21
 # Unicode's White_Space characters.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # The tokenizer never joins what stands before white space to what follows, so
 # a text is the concatenation of these pieces' ids.
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+# White space before a space, and the separator used below.
+_ODD = re.compile(f"[{WHITE}] |\0")
+MARKS = ".,;:!?)]}'\"*#%&$"
 PRINTS = "<u4"
 
 
@@ -59,7 +62,12 @@ def tokenizer_path() -> str:
 
 
 class Encoder:
-    """Ids of texts as little-endian bytes; pieces seen before are looked up."""
+    """Ids of texts as little-endian bytes of `kind`; pieces seen before are looked up.
+
+    An unknown piece is cut further where the tokenizer always cuts (before
+    white space, and between a letter and the marks that end the piece); what
+    is still unknown is encoded in one long text and told apart by the ids' lengths.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -67,12 +75,18 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
+        # A byte-level token has one character per byte.
+        self.bytes = np.zeros(self.size, np.int64)
+        for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.bytes[number] = len(token)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         held, chars = [], 0
         for text in texts:
-            held.append(PIECE.findall(text or ""))
+            held.append(_pieces(text or ""))
             chars += len(text or "")
             if chars >= BATCH_CHARS:
                 yield from self._join(held)
@@ -80,19 +94,79 @@ class Encoder:
         yield from self._join(held)
 
     def _join(self, texts: list[list[str]]) -> Iterator[bytes]:
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
         known = self.known
-        new = list({piece for pieces in texts for piece in pieces if piece not in known})
-        here = {}
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            here.update((p, np.array(e.ids, PRINTS).tobytes()) for p, e in zip(part, encoded, strict=True))
-        known.update((p, b) for p, b in here.items() if len(p) <= CACHE_CHARS)
-        here = {p: b for p, b in here.items() if len(p) > CACHE_CHARS}
+        if len(known) > CACHE_PIECES:
+            known.clear()
+        long = self._learn([p for p in set().union(*texts) if p not in known])
+        ids = known.__getitem__
         for pieces in texts:
-            yield b"".join([known[p] if p in known else here[p] for p in pieces])
+            yield b"".join(map(ids, pieces))
+        for piece in long:
+            del known[piece]
+
+    def _learn(self, new: list[str]) -> set[str]:
+        """Make new pieces known; returns those too long to be kept."""
+        known = self.known
+        words, marked, others = set(), [], []
+        for piece in new:
+            if piece[1:].isalpha():
+                words.add(piece)
+                continue
+            word = piece.rstrip(MARKS)
+            # Only letters about which all Unicode versions agree.
+            if word[1:].isalpha() and word[-1] < "\u0250":
+                marked.append((piece, word, piece[len(word) :]))
+                if word not in known:
+                    words.add(word)
+            else:
+                others.append((piece, _atoms(piece)))
+        atoms = {part for _, parts in others for part in parts} | {marks for _, _, marks in marked}
+        words.update(a for a in atoms if a not in known)
+        self._encode(list(words))
+        for piece, word, marks in marked:
+            known[piece] = known[word] + known[marks]
+        for piece, parts in others:
+            known[piece] = b"".join([known[part] for part in parts])
+        return {p for p in words.union(new) if len(p) > CACHE_CHARS}
+
+    def _encode(self, atoms: list[str]) -> None:
+        # A word after one space can follow any other in one text.
+        plain = [a for a in atoms if a[0] == " " and not a[-1].isspace() and not any(s in a for s in self.special)]
+        known = self.known
+        for at in range(0, len(plain), 512):
+            part = plain[at : at + 512]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.cumsum([len(a.encode("utf-8", "surrogatepass")) for a in part])
+            reached = np.cumsum(self.bytes[ids])
+            cuts = np.searchsorted(reached, ends)
+            if not (reached[np.minimum(cuts, len(reached) - 1)] == ends).all():
+                raise ValueError("the tokenizer joined words across white space")
+            raw, width, begin = ids.tobytes(), ids.itemsize, 0
+            for atom, end in zip(part, ((cuts + 1) * width).tolist(), strict=True):
+                known[atom] = raw[begin:end]
+                begin = end
+        rest = [a for a in atoms if a not in known]
+        if rest:
+            encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+            known.update((a, np.array(e.ids, self.kind).tobytes()) for a, e in zip(rest, encoded, strict=True))
+
+
+def _pieces(text: str) -> list[str]:
+    """The text cut before spaces that follow no other white space."""
+    if _ODD.search(text):
+        return PIECE.findall(text)
+    return text.replace(" ", "\0 ").split("\0") if text else []
+
+
+def _atoms(piece: str) -> list[str]:
+    out = []
+    for part in PIECE.findall(piece):
+        word = part.rstrip(MARKS)
+        if len(word) < len(part) and word and word[-1].isalpha() and word[-1] < "\u0250":
+            out += [word, part[len(word) :]]
+        else:
+            out.append(part)
+    return out
 
 
 @cache
@@ -102,22 +176,21 @@ def encoder(path: str) -> Encoder:
 
 def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, ids) with ids as little-endian unsigned 16-bit integers, or 32-bit for larger vocabularies."""
-    kind = id_type(path)
-    end = np.array([end_id], kind).tobytes()
+    end = np.array([end_id], id_type(path)).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = [np.frombuffer(x, PRINTS).astype(kind).tobytes() + end for x in encode(part.column("text").to_pylist())]
+                ids = [x + end for x in encode(part.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
 
 
 def id_type(path: str) -> str:
-    return "<u2" if encoder(path).size <= 1 << 16 else "<u4"
+    return encoder(path).kind
 
 
 def counts(ids: DataFrame, kind: str, size: int) -> np.ndarray:
@@ -126,8 +199,9 @@ def counts(ids: DataFrame, kind: str, size: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for value in batch.column("ids"):
-                total += np.bincount(np.frombuffer(value.as_buffer(), kind), minlength=size) if value.is_valid else 0
+            for at in range(0, batch.num_rows, 2048):
+                joined = b"".join(batch.column("ids").slice(at, 2048).to_pylist())
+                total += np.bincount(np.frombuffer(joined, kind), minlength=size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
@@ -186,17 +260,15 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def lookup(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """For every value of the next `width` bits: the id and the length of its code."""
+def lookup(lengths: np.ndarray) -> tuple[np.ndarray, int]:
+    """For every value of the next `width` bits: the id times 256 plus the length of its code."""
     width = max(int(lengths.max(initial=1)), 1)
     symbols = np.lexsort((np.arange(len(lengths)), lengths))
     symbols = symbols[lengths[symbols] > 0]
     spans = np.left_shift(1, width - lengths[symbols].astype(np.int64))
-    ids, sizes = np.zeros(1 << width, np.uint32), np.ones(1 << width, np.uint8)
-    filled = int(spans.sum())
-    ids[:filled] = np.repeat(symbols, spans)
-    sizes[:filled] = np.repeat(lengths[symbols], spans)
-    return ids, sizes, width
+    table = np.ones(1 << width, np.uint32)
+    table[: int(spans.sum())] = np.repeat(symbols << 8 | lengths[symbols], spans)
+    return table, width
 
 
 def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, bytes]:
@@ -214,21 +286,21 @@ def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes
     return payload, offsets[::STEP].astype("<u4").tobytes()
 
 
-def unpack(payload: bytes, checkpoints: bytes, n: int, table: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
+def unpack(payload: bytes, checkpoints: bytes, n: int, table: tuple[np.ndarray, int]) -> np.ndarray:
     """The ids of a block: all checkpoints step together."""
-    ids, sizes, width = table
+    entries, width = table
     raw = np.frombuffer(payload + bytes(8), np.uint8).astype(np.uint32)
     window = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
-    at = np.frombuffer(checkpoints, "<u4").astype(np.int64)
-    end = (len(window) - 1) * 8
+    at = np.frombuffer(checkpoints, "<u4").astype(np.uint32)
+    end = np.uint32((len(window) - 1) * 8)
     out = np.empty((STEP, len(at)), np.uint32)
-    mask = (1 << width) - 1
+    left, mask = np.uint32(32 - width), np.uint32((1 << width) - 1)
     for step in range(STEP):
-        peek = (window[at >> 3] >> (32 - width - (at & 7))) & mask
-        out[step] = ids[peek]
-        at += sizes[peek]
+        peek = (window[at >> 3] >> (left - (at & 7))) & mask
+        np.take(entries, peek, out=out[step])
+        at += out[step] & 255
         np.minimum(at, end, out=at)  # the last checkpoint may run past its block
-    return out.T.reshape(-1)[:n]
+    return (out >> 8).T.reshape(-1)[:n]
 
 
 BLOCKS = (
@@ -242,7 +314,9 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, limit:
     spark, kind = docs.sparkSession, id_type(path)
     size = encoder(path).size
     ids = stage(encoded(docs, path, end_id), "token-ids")
-    lengths = code_lengths(counts(ids, kind, size), limit)
+    weights = counts(ids, kind, size)
+    # A vocabulary too large for the limit gets the bits it needs.
+    lengths = code_lengths(weights, max(limit, int(np.count_nonzero(weights)).bit_length()))
     codes = canonical(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 """Huffman-coded token ids: exact round trips and optimal lengths."""
 
 import heapq
+import random
 import zlib
 
 import numpy as np
@@ -56,8 +57,10 @@ def test_empty_table(spark):
 
 def test_pieces_give_the_texts_ids():
     tokenizer = Tokenizer.from_file(m.tokenizer_path())
-    texts = [t or "" for t in ODD]
-    wanted = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    draw = random.Random(4)
+    marks = ["a", "Word", "é", "ß", "ǆ", "1", "'s", "'", ".", "!?", "***", " ", "  ", "\n", "\t", "\xa0", "\x1c", "\0", "<|endoftext|>", "|", "語", "\u0301"]
+    texts = [t or "" for t in ODD] + ["".join(draw.choices(marks, k=draw.randint(1, 12))) for _ in range(5000)]
+    wanted = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
     encode = m.Encoder(m.tokenizer_path())
     assert list(encode(texts)) == wanted
     assert list(encode(texts)) == wanted
