@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm import chat_tokens, curriculum, decontaminate, gam_quality, html_wrappers, huffman_ids, order_minhash, simhash_dedup, warc_index
+from parcelmart.llm import chat_tokens, context_mixing, curriculum, decontaminate, gam_quality, html_wrappers, huffman_ids, order_minhash, simhash_dedup, warc_index
 from parcelmart.llm.common import shared_path, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", (~gam_quality.may_teach()).alias("held_out"), "score", "predicted")
 
 
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document; a seventh is never learnt from."""
+    return context_mixing.scored(table(spark, sf_dir, "documents"))
+
+
 def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captures of all pages, read back from the archives, in index order."""
     folder = shared_path(spark, "warc")
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_ids": op3_token_ids,
     "op4_decontaminate": op4_decontaminate,
     "op5_quality_gam": op5_quality_gam,
+    "op6_context_mixing": op6_context_mixing,
     "op7_warc_index": op7_warc_index,
     "op8_chat_format": op8_chat_format,
     "op9_html_main_text": op9_html_main_text,
