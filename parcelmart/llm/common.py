@@ -30,8 +30,6 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     folder = shared_path(spark, name)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(folder)
-    if partition_by:
-        return spark.read.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
