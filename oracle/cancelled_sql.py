@@ -1,4 +1,4 @@
-"""Oracle SQL: cancellations and misses."""
+"""Oracle SQL: cancellations and misses, one step per common table expression."""
 
 from oracle.standin_sql import _CANCEL, _MISS
 
@@ -12,98 +12,86 @@ _OWN = (
     " 'VEHICLE_MALFUNCTION', 'WRONG_OR_INCOMPLETE_ADDRESS'"
 )
 
-_HOME = """
-FROM t_routes r
-JOIN t_consumer_stops cs ON cs.route_id = r.id
-JOIN t_consumer_stop_consignments csc ON csc.consumer_stop_id = cs.id
-JOIN t_consignments con ON con.id = csc.consignment_id
-JOIN t_orders o ON o.id = con.order_id
-JOIN t_postal_code_zones z ON z.id = o.delivery_postal_code_zone_id AND z.type = 'TO_DOOR'
-JOIN t_warehouses w ON w.id = z.terminal_id
-JOIN t_addresses a ON a.id = w.address_id
-"""
-_BOX = """
-FROM t_routes r
-JOIN t_consumer_stops cs ON cs.route_id = r.id
-JOIN t_locker_stops ls ON ls.stop_id = cs.id
-JOIN t_locker_pallets lp ON lp.route_id = r.id AND lp.locker_id = ls.locker_id
-JOIN t_locker_pallet_parcels lpp ON lpp.locker_pallet_id = lp.id
-JOIN t_parcels p ON p.id = lpp.parcel_id
-JOIN t_orders o ON o.id = p.order_id
-JOIN t_postal_code_zones z ON z.id = o.delivery_postal_code_zone_id AND z.type = 'TO_LOCKER'
-JOIN t_warehouses w ON w.id = z.terminal_id
-JOIN t_addresses a ON a.id = w.address_id
-JOIN t_locker_consignments con ON con.order_id = o.id
-JOIN t_intervals i ON i.id = con.estimated_interval_id
-JOIN t_timestamps t ON t.id = i.start_timestamp_id
+
+def _attempts(day: str) -> str:
+    """Attempts of routes due as `day` says: home by stop, box by pallet parcel and call at the locker."""
+    return f"""
+WITH due AS (SELECT id AS route_id, type AS purpose, due_date, routeopt_route_id FROM t_routes WHERE due_date {day}),
+zoned AS (
+  SELECT o.id AS order_id, z.type AS zone_type, z.terminal_id
+  FROM t_postal_code_zones z JOIN t_orders o ON o.delivery_postal_code_zone_id = z.id),
+home AS (
+  SELECT due.*, 'Home' AS delivery_type, con.id AS consignment_id, con.type AS kind, con.date,
+         con.cancellation_id, con.miss_id, zoned.terminal_id, 1 AS weight
+  FROM t_consignments con JOIN zoned ON zoned.order_id = con.order_id AND zone_type = 'TO_DOOR'
+  JOIN t_consumer_stop_consignments put ON put.consignment_id = con.id
+  JOIN t_consumer_stops stop ON stop.id = put.consumer_stop_id
+  JOIN due ON due.route_id = stop.route_id AND purpose = 'DISTRIBUTION'),
+calls AS (
+  SELECT stop.route_id, halt.locker_id, count(*) AS times
+  FROM t_locker_stops halt JOIN t_consumer_stops stop ON stop.id = halt.stop_id GROUP BY ALL),
+carried AS (
+  SELECT calls.route_id, p.order_id, sum(times) AS weight
+  FROM t_parcels p JOIN t_locker_pallet_parcels put ON put.parcel_id = p.id
+  JOIN t_locker_pallets pallet ON pallet.id = put.locker_pallet_id
+  JOIN calls ON calls.route_id = pallet.route_id AND calls.locker_id = pallet.locker_id GROUP BY ALL),
+box AS (
+  SELECT due.*, 'Box' AS delivery_type, con.id AS consignment_id, con.consignment_type AS kind,
+         CAST(begin.date AS DATE) AS date, con.cancellation_id, con.miss_id, zoned.terminal_id, carried.weight
+  FROM carried JOIN due ON due.route_id = carried.route_id AND purpose = 'LOCKER'
+  JOIN zoned ON zoned.order_id = carried.order_id AND zone_type = 'TO_LOCKER'
+  JOIN t_locker_consignments con ON con.order_id = carried.order_id
+  JOIN t_intervals span ON span.id = con.estimated_interval_id
+  JOIN t_timestamps begin ON begin.id = span.start_timestamp_id),
+attempts AS (FROM home UNION ALL FROM box)
 """
 
-_KEYS = "w.id, w.name, a.country_code"
 
+_PLACES = """, places AS (
+  SELECT house.id AS terminal_id, house.name AS terminal_name, country_code AS terminal_country
+  FROM t_addresses place JOIN t_warehouses house ON house.address_id = place.id)
+"""
 
-def _misses(source: str, label: str, day: str, where: str) -> str:
-    pivot = ", ".join(
-        f"count(CASE WHEN m.category = '{name}' THEN 1 END) AS {name.lower()}" for name in _MISS
-    )
-    return f"""
-SELECT w.name AS terminal_name, a.country_code AS terminal_country, '{label}' AS delivery_type, {pivot},
-       count(con.id) AS consignment_total, count(m.id) AS miss_total, min({day}) AS date
-{source} LEFT JOIN t_misses m ON m.id = con.miss_id
-WHERE r.due_date = DATE '1998-08-23' AND {where}
-GROUP BY {_KEYS}"""
 
+def _sum(condition: str, name: str) -> str:
+    return f"CAST(coalesce(sum(weight) FILTER (WHERE {condition}), 0) AS BIGINT) AS {name}"
 
-def _reasons(source: str, label: str, day: str, kind: str) -> str:
-    pivot = []
-    for name in _CANCEL:
-        if name in ("CONSUMER_WANTS_TO_CANCEL_BOX_RESERVATION", "CONVERTED_TO_HOME_DELIVERY"):
-            continue
-        names = f"'{name}'"
-        if name == "CONSUMER_WANTS_TO_CANCEL_CONSIGNMENT":
-            names += ", 'CONSUMER_WANTS_TO_CANCEL_BOX_RESERVATION'"
-        if name == "CONSUMER_WANTS_TO_CHANGE_DELIVERY_TYPE":
-            names += ", 'CONVERTED_TO_HOME_DELIVERY'"
-        pivot.append(
-            f"count(CASE WHEN c.cancellation_category IN ({names}) THEN 1 END) AS {name.lower()}"
-        )
-    hour = "hour(timezone(ro.timezone, timezone('UTC', c.date)))"
-    own = f"c.cancellation_category IN ({_OWN})"
-    return f"""
-SELECT w.name AS terminal_name, a.country_code AS terminal_country, '{label}' AS delivery_type,
-       {', '.join(pivot)}, count(c.id) AS total_cancellations, count(con.id) AS total_consignments,
-       min({day}) AS date,
-       count(CASE WHEN {own} AND {hour} <= 15 THEN 1 END) AS own_before_16,
-       count(CASE WHEN {own} AND {hour} IN (16, 17) THEN 1 END) AS own_between_16_18,
-       count(CASE WHEN {own} AND {hour} >= 18 THEN 1 END) AS own_after_18
-{source} LEFT JOIN t_cancellations c ON c.id = con.cancellation_id
-LEFT JOIN t_routeopt_routes rr ON rr.id = r.routeopt_route_id
-LEFT JOIN t_routeopt_optimizations ro ON ro.id = rr.optimization_id
-WHERE r.due_date = DATE '1998-08-23' AND r.type = '{kind}'
-GROUP BY {_KEYS}"""
 
+_BY_MISS = ", ".join(_sum(f"category = '{name}'", name.lower()) for name in _MISS)
+_ALSO = {
+    "CONSUMER_WANTS_TO_CANCEL_CONSIGNMENT": "CONSUMER_WANTS_TO_CANCEL_BOX_RESERVATION",
+    "CONSUMER_WANTS_TO_CHANGE_DELIVERY_TYPE": "CONVERTED_TO_HOME_DELIVERY",
+}
+_BY_REASON = ", ".join(
+    _sum(f"reason IN ('{name}', '{_ALSO.get(name, name)}')", name.lower())
+    for name in _CANCEL
+    if name not in _ALSO.values()
+)
 
 QUERIES = {
-    "cancellation_rate_per_day": f"""
+    "cancellation_rate_per_day": f"""{_attempts("> DATE '1998-06-23'")}
+, own AS (SELECT id FROM t_cancellations WHERE cancellation_category NOT IN ({_EXTERNAL}))
 SELECT due_date, delivery_type,
-       CAST(count(DISTINCT cancellation_id) AS DOUBLE) / nullif(count(DISTINCT consignment_id), 0)
-         AS cancellation_rate
-FROM (
-  SELECT r.due_date, 'Home' AS delivery_type, c.id AS cancellation_id, con.id AS consignment_id
-  {_HOME} LEFT JOIN t_cancellations c ON c.id = con.cancellation_id
-    AND c.cancellation_category NOT IN ({_EXTERNAL})
-  WHERE r.due_date > DATE '1998-06-23' AND r.type = 'DISTRIBUTION'
-  UNION ALL
-  SELECT r.due_date, 'Box', c.id, con.id
-  {_BOX} LEFT JOIN t_cancellations c ON c.id = con.cancellation_id
-    AND c.cancellation_category NOT IN ({_EXTERNAL})
-  WHERE r.due_date > DATE '1998-06-23' AND r.type = 'LOCKER')
-GROUP BY due_date, delivery_type""",
-    "miss_category_pivot": _misses(
-        _HOME, "Home", "con.date", "r.type = 'DISTRIBUTION' AND con.type IN ('DELIVERY', 'RETURN')"
-    )
-    + " UNION "
-    + _misses(_BOX, "Box", "CAST(t.date AS DATE)", "r.type = 'LOCKER'"),
-    "cancellation_category_pivot": _reasons(_HOME, "Home", "con.date", "DISTRIBUTION")
-    + " UNION "
-    + _reasons(_BOX, "Box", "CAST(t.date AS DATE)", "LOCKER"),
+       CAST(count(DISTINCT own.id) AS DOUBLE) / count(DISTINCT consignment_id) AS cancellation_rate
+FROM attempts LEFT JOIN own ON own.id = attempts.cancellation_id GROUP BY due_date, delivery_type""",
+    "miss_category_pivot": f"""{_attempts("= DATE '1998-08-23'")}{_PLACES}
+SELECT DISTINCT * EXCLUDE (terminal_id) FROM (
+  SELECT terminal_id, terminal_name, terminal_country, delivery_type, {_BY_MISS},
+         CAST(sum(weight) AS BIGINT) AS consignment_total, {_sum("m.id IS NOT NULL", "miss_total")}, min(attempts.date) AS date
+  FROM attempts JOIN places USING (terminal_id) LEFT JOIN t_misses m ON m.id = miss_id
+  WHERE delivery_type = 'Box' OR kind IN ('DELIVERY', 'RETURN') GROUP BY ALL)""",
+    "cancellation_category_pivot": f"""{_attempts("= DATE '1998-08-23'")}{_PLACES}
+, reasons AS (
+  SELECT attempts.*, c.cancellation_category AS reason,
+         hour(timezone(run.timezone, timezone('UTC', c.date))) AS at_hour
+  FROM attempts LEFT JOIN t_cancellations c ON c.id = cancellation_id
+  LEFT JOIN t_routeopt_routes plan ON plan.id = attempts.routeopt_route_id
+  LEFT JOIN t_routeopt_optimizations run ON run.id = plan.optimization_id)
+SELECT DISTINCT * EXCLUDE (terminal_id) FROM (
+  SELECT terminal_id, terminal_name, terminal_country, delivery_type, {_BY_REASON},
+         {_sum("reason IS NOT NULL", "total_cancellations")}, CAST(sum(weight) AS BIGINT) AS total_consignments,
+         min(reasons.date) AS date, {_sum(f"reason IN ({_OWN}) AND at_hour < 16", "own_before_16")},
+         {_sum(f"reason IN ({_OWN}) AND at_hour IN (16, 17)", "own_between_16_18")},
+         {_sum(f"reason IN ({_OWN}) AND at_hour > 17", "own_after_18")}
+  FROM reasons JOIN places USING (terminal_id) GROUP BY ALL)""",
 }

@@ -185,6 +185,11 @@ SELECT day, count(CASE WHEN t > f + INTERVAL 735 MINUTE OR t < f + INTERVAL 345
 SELECT event_id, user_id, event_type, ts, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1 AND event_type <> 'error'""",
+    "replicate_manifest": """
+WITH newest AS (
+  SELECT event_id % 2 AS side, user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY ALL)
+SELECT e.event_id, e.user_id, event_type, ts, if(side = 0, 'even_events', 'odd_events') AS table_name
+FROM newest JOIN events e USING (event_id) WHERE event_type <> 'error'""",
     "merge_change_batch": """
 SELECT event_id, user_id, event_type, ts FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)

@@ -20,42 +20,51 @@ def _folded(plate: str) -> str:
 
 QUERIES = {
     "plate_compare": f"""
-SELECT * EXCLUDE (rn) FROM (
-SELECT r.id AS route_id, rvi.license_plate AS actual_plate, {_plain('v.license_plate')} AS routed_plate,
-       CASE WHEN {_folded('v.license_plate')} = {_folded('rvi.license_plate')} THEN 0
-            WHEN {_folded('v.license_plate')} < {_folded('rvi.license_plate')} THEN -1
-            WHEN {_folded('v.license_plate')} > {_folded('rvi.license_plate')} THEN 1 END AS valid,
-       strftime(r.due_date, '%Y-%m-%d') AS route_date,
-       'https://admin.example/users/' || u.id AS user_link, u.first_name || ' ' || u.last_name AS driver,
-       r.city, i.url AS image_url, oo.name AS courier, a.country_code AS country,
-       row_number() OVER (PARTITION BY r.id ORDER BY rvi.image_id, u.id, w.id) AS rn
-FROM t_route_vehicle_images rvi JOIN t_routes r ON r.id = rvi.route_id
-JOIN t_routeopt_routes rr ON rr.id = r.routeopt_route_id
-JOIN t_routeopt_vehicles_and_users vu ON vu.id = rr.routeopt_vehicle_and_user_id
-JOIN t_vehicles v ON v.id = vu.vehicle_id
-JOIN t_user_routes ur ON ur.route_id = r.id JOIN t_users u ON u.id = ur.user_id
-LEFT JOIN t_images i ON i.id = rvi.image_id
-JOIN t_owner_operators oo ON oo.id = r.owner_operator_id
-LEFT JOIN t_warehouses w ON w.city = r.city LEFT JOIN t_addresses a ON a.id = w.address_id
-WHERE r.due_date BETWEEN DATE '1998-08-21' AND DATE '1998-08-23' AND v.license_plate NOT ILIKE '%own fleet%'
-) WHERE rn = 1""",
+WITH photos AS (
+  SELECT shot.route_id, shot.image_id, shot.license_plate AS seen, url
+  FROM t_images picture RIGHT JOIN t_route_vehicle_images shot ON shot.image_id = picture.id),
+vehicles AS (
+  SELECT plan.id AS plan_id, car.license_plate AS planned
+  FROM t_vehicles car JOIN t_routeopt_vehicles_and_users pair ON pair.vehicle_id = car.id
+  JOIN t_routeopt_routes plan ON plan.routeopt_vehicle_and_user_id = pair.id
+  WHERE lower(car.license_plate) NOT LIKE '%own fleet%'),
+crews AS (
+  SELECT route_id, id AS user_id, first_name || ' ' || last_name AS driver
+  FROM t_users JOIN t_user_routes ON user_id = t_users.id),
+cities AS (
+  SELECT house.id AS terminal_id, house.city, place.country_code
+  FROM t_warehouses house LEFT JOIN t_addresses place ON place.id = house.address_id)
+SELECT r.id AS route_id, seen AS actual_plate, {_plain('planned')} AS routed_plate,
+       CAST(if({_folded('planned')} = {_folded('seen')}, 0, if({_folded('planned')} < {_folded('seen')}, -1, 1)) AS INTEGER) AS valid,
+       strftime(due_date, '%Y-%m-%d') AS route_date, 'https://admin.example/users/' || user_id AS user_link, driver,
+       r.city, url AS image_url, firm.name AS courier, country_code AS country
+FROM t_owner_operators firm JOIN t_routes r ON r.owner_operator_id = firm.id
+JOIN vehicles ON vehicles.plan_id = r.routeopt_route_id JOIN crews ON crews.route_id = r.id
+JOIN photos ON photos.route_id = r.id LEFT JOIN cities ON cities.city = r.city
+WHERE due_date >= DATE '1998-08-21' AND due_date <= DATE '1998-08-23'
+QUALIFY row_number() OVER (PARTITION BY r.id ORDER BY image_id, user_id, terminal_id) = 1""",
     "loading_inspection": """
-SELECT strftime(timezone('Europe/Stockholm', timezone('UTC', loading)), '%H:%M') AS loading_time,
-       route_id, cage_name, CAST(NULL AS VARCHAR) AS bay, user_id, driver, phone_number, courier,
+WITH today AS (
+  SELECT r.id AS route_id, title, r.city, terminal, plan.optimization_id
+  FROM t_routeopt_routes plan JOIN t_routes r ON r.routeopt_route_id = plan.id
+  WHERE due_date = DATE '1998-08-23' AND upper(r.type) = 'DISTRIBUTION'),
+loads AS (
+  SELECT stop.route_id, min(begin.date) AS moment
+  FROM t_timestamps begin JOIN t_intervals span ON span.start_timestamp_id = begin.id
+  JOIN t_terminal_stops stop ON stop.estimated_interval_id = span.id
+  WHERE EXISTS (FROM t_terminal_stop_consignments put JOIN t_consignments con ON con.id = put.consignment_id
+                WHERE put.terminal_stop_id = stop.id)
+  GROUP BY 1),
+crews AS (
+  SELECT duty.route_id, u.id AS user_id, u.first_name || ' ' || u.last_name AS driver, u.phone_number, firm.name AS courier
+  FROM t_user_routes duty JOIN t_users u ON u.id = duty.user_id
+  LEFT JOIN t_owner_operator_users works ON works.user_id = u.id
+  LEFT JOIN t_owner_operators firm ON firm.id = works.owner_operator_id
+  QUALIFY row_number() OVER (PARTITION BY duty.route_id ORDER BY u.id, firm.id) = 1)
+SELECT strftime(timezone('Europe/Stockholm', timezone('UTC', moment)), '%H:%M') AS loading_time, route_id,
+       title AS cage_name, CAST(NULL AS VARCHAR) AS bay, user_id, driver, phone_number, courier,
        optimization_id, city, terminal
-FROM (
-SELECT min(t.date) OVER (PARTITION BY r.id) AS loading, r.id AS route_id, r.title AS cage_name, u.id AS user_id,
-       u.first_name || ' ' || u.last_name AS driver, u.phone_number, oo.name AS courier, rr.optimization_id,
-       r.city, r.terminal, row_number() OVER (PARTITION BY r.id ORDER BY u.id, oo.id) AS rn
-FROM t_routes r LEFT JOIN t_user_routes ur ON ur.route_id = r.id LEFT JOIN t_users u ON u.id = ur.user_id
-LEFT JOIN t_owner_operator_users oou ON oou.user_id = u.id
-LEFT JOIN t_owner_operators oo ON oo.id = oou.owner_operator_id
-JOIN t_terminal_stops ts ON ts.route_id = r.id
-JOIN t_intervals i ON i.id = ts.estimated_interval_id JOIN t_timestamps t ON t.id = i.start_timestamp_id
-JOIN t_terminal_stop_consignments tsc ON tsc.terminal_stop_id = ts.id
-JOIN t_consignments c ON c.id = tsc.consignment_id
-JOIN t_routeopt_routes rr ON rr.id = r.routeopt_route_id
-WHERE r.due_date = DATE '1998-08-23' AND lower(r.type) = 'distribution') WHERE rn = 1""",
+FROM loads JOIN today USING (route_id) LEFT JOIN crews USING (route_id)""",
     "ratings_in_routes_today": """
 SELECT c.id AS consignment_id, rt.score, rt.rating_category, z.country_code AS country, z.city
 FROM t_routes r JOIN t_consumer_stops cs ON cs.route_id = r.id
@@ -78,33 +87,34 @@ SELECT w.code AS terminal_code, min(z.country_code) AS country, count(DISTINCT c
 WHERE c.date = DATE '1998-08-23' AND c.cancellation_id IS NULL
 GROUP BY w.code""",
     "return_route_schedule": """
-SELECT r.id AS route_id, r.terminal,
-       min(CASE ad.country_code
-             WHEN 'SE' THEN timezone('Europe/Stockholm', timezone('UTC', t.date))
-             WHEN 'NL' THEN timezone('Europe/Amsterdam', timezone('UTC', t.date))
-             WHEN 'FI' THEN timezone('Europe/Helsinki', timezone('UTC', t.date))
-             WHEN 'DK' THEN timezone('Europe/Copenhagen', timezone('UTC', t.date))
-             WHEN 'BE' THEN timezone('Europe/Brussels', timezone('UTC', t.date))
-             ELSE t.date END) AS loading_time,
-       string_agg(DISTINCT b.external_name, '   |   ' ORDER BY b.external_name) AS merchants,
-       string_agg(DISTINCT pl.identifier, '   |   ' ORDER BY pl.identifier) AS pallets,
-       any_value(d.driver) AS driver, any_value(d.phone_number) AS phone_number,
-       count(pp.parcel_id) > 0 AS has_parcels, any_value(oo.name) AS courier
-FROM t_routes r JOIN t_terminal_stops ts ON ts.route_id = r.id AND ts.sequence = 1
-JOIN t_intervals i ON i.id = ts.estimated_interval_id JOIN t_timestamps t ON t.id = i.start_timestamp_id
-JOIN t_consumer_stops cs ON cs.route_id = r.id JOIN t_addresses ad ON ad.id = cs.address_id
-JOIN t_consumer_stop_consignments csc ON csc.consumer_stop_id = cs.id
-JOIN t_consignments c ON c.id = csc.consignment_id JOIN t_orders o ON o.id = c.order_id
-JOIN t_buyers b ON b.id = o.buyer_id
-LEFT JOIN t_return_pallet_details rpd ON rpd.merchant_id = b.id AND rpd.route_id IS NULL
-LEFT JOIN t_pallets pl ON pl.id = rpd.pallet_id
-LEFT JOIN (SELECT ur.route_id, u.first_name || ' ' || u.last_name AS driver, u.phone_number
-           FROM (SELECT route_id, min(user_id) AS user_id FROM t_user_routes GROUP BY route_id) ur
-           JOIN t_users u ON u.id = ur.user_id) d ON d.route_id = r.id
-JOIN t_pallet_parcels pp ON pp.pallet_id = pl.id
-JOIN t_owner_operators oo ON oo.id = r.owner_operator_id
-WHERE r.type = 'MERCHANT' AND csc.type = 'UNLOADING_OF_PARCELS'
-  AND t.date BETWEEN TIMESTAMP '1998-08-23 00:00:00' AND TIMESTAMP '1998-08-24 12:00:00'
-  AND pl.created_at > TIMESTAMP '1998-08-16 12:00:00'
-GROUP BY r.id, r.terminal""",
+WITH departures AS (
+  SELECT r.id AS route_id, r.terminal, firm.name AS courier, begin.date AS moment
+  FROM t_timestamps begin JOIN t_intervals span ON span.start_timestamp_id = begin.id
+  JOIN t_terminal_stops stop ON stop.estimated_interval_id = span.id AND stop.sequence = 1
+  JOIN t_routes r ON r.id = stop.route_id JOIN t_owner_operators firm ON firm.id = r.owner_operator_id
+  WHERE r.type = 'MERCHANT' AND begin.date >= TIMESTAMP '1998-08-23' AND begin.date <= TIMESTAMP '1998-08-24 12:00:00'),
+unloadings AS (
+  SELECT stop.route_id, country_code, b.id AS buyer_id, b.external_name AS merchant
+  FROM t_buyers b JOIN t_orders o ON o.buyer_id = b.id JOIN t_consignments con ON con.order_id = o.id
+  JOIN t_consumer_stop_consignments put ON put.consignment_id = con.id AND put.type = 'UNLOADING_OF_PARCELS'
+  JOIN t_consumer_stops stop ON stop.id = put.consumer_stop_id JOIN t_addresses place ON place.id = stop.address_id),
+free AS (
+  SELECT detail.merchant_id AS buyer_id, pl.identifier
+  FROM t_pallets pl JOIN t_return_pallet_details detail ON detail.pallet_id = pl.id
+  WHERE detail.route_id IS NULL AND pl.created_at > TIMESTAMP '1998-08-16 12:00:00'
+    AND pl.id IN (SELECT pallet_id FROM t_pallet_parcels WHERE parcel_id IS NOT NULL)),
+crews AS (
+  SELECT route_id, first_name || ' ' || last_name AS driver, phone_number
+  FROM t_users u JOIN (SELECT route_id, min(user_id) AS user_id FROM t_user_routes GROUP BY 1) duty ON duty.user_id = u.id),
+zones AS (
+  FROM (VALUES ('SE', 'Europe/Stockholm'), ('NL', 'Europe/Amsterdam'), ('FI', 'Europe/Helsinki'),
+               ('DK', 'Europe/Copenhagen'), ('BE', 'Europe/Brussels')) v(country_code, zone)),
+calls AS (
+  SELECT route_id, min(timezone(coalesce(zone, 'UTC'), timezone('UTC', moment))) AS loading_time,
+         string_agg(DISTINCT merchant, '   |   ' ORDER BY merchant) AS merchants,
+         string_agg(DISTINCT identifier, '   |   ' ORDER BY identifier) AS pallets
+  FROM free JOIN unloadings USING (buyer_id) JOIN departures USING (route_id) LEFT JOIN zones USING (country_code)
+  GROUP BY 1)
+SELECT route_id, terminal, loading_time, merchants, pallets, driver, phone_number, true AS has_parcels, courier
+FROM calls JOIN (SELECT DISTINCT route_id, terminal, courier FROM departures) USING (route_id) LEFT JOIN crews USING (route_id)""",
 }

@@ -107,10 +107,10 @@ FROM x_base""",
 SELECT k AS id, k AS order_id, d AS date, CAST(d AS TIMESTAMP) - INTERVAL 12 HOUR AS deadline,
        CASE WHEN priority LIKE '1%' THEN 'RETURN' ELSE 'DELIVERY' END AS type,
        CASE WHEN k % 11 = 0 THEN k END AS cancellation_id,
-       CASE WHEN k % 13 = 0 THEN k END AS miss_id, k AS interval_id
+       CASE WHEN k % 13 = 0 THEN k END AS miss_id, CASE WHEN k % 41 <> 0 THEN k END AS interval_id
 FROM x_plan WHERE k % 2 = 0""",
     "t_locker_consignments": """
-SELECT k AS id, k AS order_id, k AS estimated_interval_id,
+SELECT k AS id, k AS order_id, CASE WHEN k % 41 <> 0 THEN k END AS estimated_interval_id,
        CASE WHEN priority LIKE '1%' THEN 'RETURN' ELSE 'DELIVERY' END AS consignment_type,
        CASE WHEN k % 11 = 0 THEN k END AS cancellation_id,
        CASE WHEN k % 13 = 0 THEN k END AS miss_id,
@@ -176,7 +176,7 @@ FROM (SELECT DISTINCT route AS id, d, nk % 7 AS t, k % 2 AS kind FROM x_plan
       UNION SELECT DISTINCT mroute, d, nk % 7, 2 FROM x_plan WHERE {_MERCHANT})""",
     "t_consumer_stops": f"""
 SELECT k AS id, route AS route_id, (k * 31) % 1009 AS sequence, 1000 + k % 200 AS address_id,
-       k AS estimated_interval_id FROM x_plan
+       CASE WHEN k % 43 <> 0 THEN k END AS estimated_interval_id FROM x_plan
 UNION ALL
 SELECT 4000000000000 + k, mroute, (k * 31) % 1009, 1000 + k % 200, k FROM x_plan WHERE {_MERCHANT}""",
     "t_consumer_stop_consignments": f"""
@@ -295,7 +295,7 @@ FROM x_days CROSS JOIN (SELECT unnest([1, 2]) AS x) WHERE (n + w) % 5 <> 4""",
     "t_postal_code_zones": f"""
 SELECT 200 + 2 * n + x AS id, CASE WHEN n = 24 THEN 'OTHER' ELSE n_name END AS title,
        CASE WHEN n = 24 THEN 'OTHER' ELSE n_name END AS city, country_code,
-       CASE WHEN x = 0 THEN 'TO_DOOR' ELSE 'TO_LOCKER' END AS type, n % 7 AS terminal_id,
+       CASE WHEN x = 0 THEN 'TO_DOOR' ELSE 'TO_LOCKER' END AS type, CASE WHEN n <> 17 THEN n % 7 END AS terminal_id,
        CASE WHEN n % 12 = 11 THEN {NOW} END AS deleted_at
 FROM x_nation CROSS JOIN (SELECT unnest([0, 1]) AS x)""",
     "x_terminals": """
@@ -303,7 +303,7 @@ SELECT s_suppkey AS id, country_code, s_acctbal FROM supplier JOIN x_nation ON n
 WHERE s_suppkey < 7""",
     "t_warehouses": f"""
 SELECT id, 'Terminal ' || id AS name, 'TERM' || id AS code,
-       CASE WHEN id = 6 THEN 'OTHER' ELSE 'City ' || id END AS city, id AS address_id,
+       CASE WHEN id = 6 THEN 'OTHER' ELSE 'City ' || id END AS city, CASE WHEN id <> 4 THEN id END AS address_id,
        {NOW} - to_hours(2400 + 24 * id) AS created_at, CASE WHEN id = 5 THEN {NOW} END AS deleted_at,
        CASE WHEN id % 2 = 0 THEN 'LEFT' ELSE 'RIGHT' END AS sorting_machine_assign_direction,
        id % 3 = 0 AS sorting_machine_books_delivery,
@@ -368,7 +368,7 @@ SELECT c_custkey AS id, c_custkey + 500000 AS consumer_id,
 FROM customer""",
     "t_consumer_order": "SELECT o_custkey AS consumer_id, o_orderkey AS order_id FROM orders",
     "t_timeslot_subscription": f"""
-SELECT event_id AS id, user_id AS consumer_id, event_id % 3 <> 0 AS active,
+SELECT event_id AS id, CASE WHEN event_id % 31 <> 0 THEN user_id END AS consumer_id, event_id % 3 <> 0 AS active,
        {NOW} + to_hours(24 * (event_id % 90 - 30)) AS valid_to,
        CASE WHEN event_id % 4 = 0 THEN
          ts - to_days(CAST(9291 + event_id % 500 - event_id % 200 AS INTEGER)) END AS cancelled_at,

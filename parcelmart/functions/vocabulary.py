@@ -37,11 +37,15 @@ MISS_CATEGORIES = (
     "OFFICE_ADDRESS_CLOSED",
 )
 
+# Deployment setting: the category of parcels the operator has damaged, which
+# carries the operator's name; real rows count only once it is set.
+OPERATOR_DAMAGE = "DAMAGED_PARCEL_BY_OPERATOR"
+
 # Fixed list: why an order or attempt was cancelled.
 CANCELLATION_CATEGORIES = (
     "CONSUMER_WANTS_TO_CANCEL_CONSIGNMENT",
     "CONSUMER_WANTS_TO_CANCEL_BOX_RESERVATION",
-    "DAMAGED_PARCEL_BY_OPERATOR",
+    OPERATOR_DAMAGE,
     "DAMAGED_PARCEL_BY_COURIER",
     "DELAYED_DRIVER",
     "DELAYED_FROM_MERCHANT",
@@ -71,13 +75,13 @@ CANCELLATION_CATEGORIES = (
     "BOX_IS_EMPTY",
 )
 
-# Categories reported under another category's column.
+# Fixed list: categories reported under another category's column.
 MERGED_CANCELLATIONS = {
     "CONSUMER_WANTS_TO_CANCEL_BOX_RESERVATION": "CONSUMER_WANTS_TO_CANCEL_CONSIGNMENT",
     "CONVERTED_TO_HOME_DELIVERY": "CONSUMER_WANTS_TO_CHANGE_DELIVERY_TYPE",
 }
 
-# Cancellations that are not the operator's doing (left out of the rate).
+# Fixed list: cancellations that are not the operator's doing (left out of the rate).
 EXTERNAL_CANCELLATIONS = (
     "REQUESTED_BY_TRANSPORT_BUYER",
     "DELAYED_FROM_MERCHANT",
@@ -87,9 +91,9 @@ EXTERNAL_CANCELLATIONS = (
     "CONSUMER_WANTS_TO_CANCEL_BOX_RESERVATION",
 )
 
-# Cancellations the operator answers for (hour-of-day buckets).
+# Fixed list: cancellations the operator answers for (hour-of-day buckets).
 OPERATOR_CANCELLATIONS = (
-    "DAMAGED_PARCEL_BY_OPERATOR",
+    OPERATOR_DAMAGE,
     "DAMAGED_PARCEL_BY_COURIER",
     "DELAYED_DRIVER",
     "OTHER",
@@ -101,7 +105,7 @@ OPERATOR_CANCELLATIONS = (
     "WRONG_OR_INCOMPLETE_ADDRESS",
 )
 
-# Late cancellations that are still billed to the merchant.
+# Fixed list: late cancellations that are still billed to the merchant.
 BILLABLE_CANCELLATIONS = (
     "REQUESTED_BY_TRANSPORT_BUYER",
     "DELAYED_FROM_MERCHANT",
@@ -110,7 +114,7 @@ BILLABLE_CANCELLATIONS = (
     "DAMAGED_PARCEL_BY_MERCHANT",
 )
 
-# Late cancellations of returns that are still billed.
+# Fixed list: late cancellations of returns that are still billed.
 BILLABLE_RETURN_CANCELLATIONS = (
     "REQUESTED_BY_MERCHANT",
     "REQUESTED_BY_TRANSPORT_BUYER",
@@ -138,9 +142,10 @@ TIMESLOT_JSON_PATH = "$.timeWindow.timeslotSpec"
 LIST_SEPARATOR = "   |   "
 UNLOADING = "UNLOADING_OF_PARCELS"
 PUSH_PREFIX = "projects/"
-APP_START = "2020-05-01"
 
-# Deployment settings: text patterns and link prefix of the operator.
+# Deployment settings: text patterns and link prefix of the operator, and the
+# terminal that the one-terminal listing is for (none: it cannot be built).
+UNASSIGNED_TERMINAL: str | None = None
 BOX_MERCHANT_PATTERN = "%Box Merchant%"
 OWN_FLEET_PATTERN = "%own fleet%"
 ADMIN_URL = "https://admin.example/"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -35,7 +35,8 @@ def newest_changes(
     order, and applying a batch twice changes nothing.
     """
     carry = [name for name in changes.columns if name not in keys and name not in order]
-    flagged = changes.withColumn("_deleted", deleted)
+    # A change without a mark deletes nothing.
+    flagged = changes.withColumn("_deleted", F.coalesce(deleted, F.lit(False)))
     newest = latest_per_key(flagged, keys, order, [*carry, "_deleted"])
     return newest.where(~F.col("_deleted")).select(*changes.columns)
 
@@ -58,3 +59,22 @@ def apply_changes(
 
 def live_rows(state: DataFrame, deleted: str) -> DataFrame:
     return state.where(~F.coalesce(F.col(deleted), F.lit(False)))
+
+
+def replicate(
+    manifest: Iterable[Replicated],
+    state: Callable[[str], DataFrame | None],
+    changes: Callable[[str], DataFrame],
+    store: Callable[[str, DataFrame], None],
+) -> None:
+    """Take one change batch of every table in: read its state, merge, store the new state.
+
+    ``state`` returns None for a table not replicated yet. Batches may come in
+    any order and twice: the state depends on the set of changes only.
+    """
+    for entry in manifest:
+        batch = changes(entry.table)
+        current = state(entry.table)
+        if current is None:
+            current = batch.where(F.lit(False))
+        store(entry.table, apply_changes(current, batch, entry.keys, entry.order))

@@ -73,7 +73,7 @@ def multi_country_terminals(t: Tables, as_of: AsOf) -> DataFrame:
         .where(c("countries") > 1)
     )
     places = (
-        zone_terminals(t, v.TO_DOOR)
+        zone_terminals(t, v.TO_DOOR, addressed=True)
         .where(c("country").isin("NL", "BE"))
         .join(served, "terminal_id")
     )

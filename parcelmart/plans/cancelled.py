@@ -46,7 +46,10 @@ def cancellation_rate_per_day(t: Tables, as_of: AsOf) -> DataFrame:
     home = branch(
         door_attempts(t, routes_due(t, recent, v.DISTRIBUTION)), v.TO_DOOR, "Home"
     )
-    box = branch(box_attempts(t, routes_due(t, recent, v.LOCKER)), v.TO_LOCKER, "Box")
+    timed = box_attempts(t, routes_due(t, recent, v.LOCKER)).where(
+        c("estimated_interval_id").isNotNull()
+    )
+    box = branch(timed, v.TO_LOCKER, "Box")
     own = (
         t("cancellations", "id as cancellation_id", "cancellation_category")
         .where(~c("cancellation_category").isin(*v.EXTERNAL_CANCELLATIONS))

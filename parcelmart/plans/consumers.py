@@ -18,7 +18,7 @@ c = F.col
 def active_memberships(t: Tables, as_of: AsOf) -> DataFrame:
     return (
         t("timeslot_subscription", "consumer_id", "active", "valid_to")
-        .where(c("valid_to") > ts_lit(as_of.now))
+        .where((c("valid_to") > ts_lit(as_of.now)) & c("consumer_id").isNotNull())
         .agg(
             count_where(c("active")).alias("active_memberships"),
             F.count_distinct("consumer_id").alias("signed_up"),

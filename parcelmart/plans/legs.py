@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelmart.functions import vocabulary as v
-from parcelmart.functions.clock import AsOf
+from parcelmart.functions.clock import AsOf, ts_lit
 from parcelmart.functions.timeparts import day_name, seconds_of_day, to_zone
 from parcelmart.operators.joins import join_optional, keep
 from parcelmart.operators.windows import previous_row
@@ -31,11 +31,13 @@ def _departures(t: Tables, as_of: AsOf) -> DataFrame:
     Consumer and terminal stops have separate ids, so the kind of stop is
     part of the key.
     """
-    columns = ["id as stop_id", "route_id", "sequence", "address_id"]
+    columns = ["id as stop_id", "route_id", "sequence", "address_id", "estimated_interval_id"]
     stops = (
         t("consumer_stops", *columns)
         .withColumn("stop_kind", F.lit(CONSUMER_STOP))
         .unionByName(t("terminal_stops", *columns).withColumn("stop_kind", F.lit(TERMINAL)))
+        .where(c("estimated_interval_id").isNotNull())
+        .drop("estimated_interval_id")
     )
     measured = t(
         "routeopt_service_time_data",
@@ -146,11 +148,17 @@ def _drive_factors(t: Tables) -> DataFrame:
     )
 
 
-def _reports_per_day(t: Tables) -> DataFrame:
-    """First and last report per consignment and day, by what it may be about."""
+def _reports_per_day(t: Tables, as_of: AsOf) -> DataFrame:
+    """First and last report per consignment and day, by what it may be about.
+
+    They are matched to the due dates of recent routes, so older ones are not read.
+    """
     updates = t(
         "parcel_status_updates", "consignment_id", "parcel_status_id as status", "date"
-    ).where(c("status").isin(v.COLLECTED, v.DELIVERED, v.MISSED))
+    ).where(
+        c("status").isin(v.COLLECTED, v.DELIVERED, v.MISSED)
+        & (c("date") >= ts_lit(as_of.day(months=-1)))
+    )
     delivery = F.when(c("status").isin(v.DELIVERED, v.MISSED), c("date"))
     collection = F.when(c("status").isin(v.COLLECTED, v.MISSED), c("date"))
     return updates.groupBy("consignment_id", F.to_date("date").alias("due_date")).agg(
@@ -161,9 +169,9 @@ def _reports_per_day(t: Tables) -> DataFrame:
     )
 
 
-def _typed_parcels(t: Tables) -> DataFrame:
-    """Parcels of consignments with their type."""
-    carried = t("parcel_consignments", "consignment_id", "parcel_id")
+def _typed_parcels(t: Tables, consignments: DataFrame) -> DataFrame:
+    """Parcels of these consignments with their type."""
+    carried = keep(t("parcel_consignments", "consignment_id", "parcel_id"), consignments, ["consignment_id"])
     return carried.join(t("parcels", "id as parcel_id", "type as parcel_type"), "parcel_id")
 
 
@@ -173,7 +181,7 @@ def _by_type(delivery: str, collection: str):
     )
 
 
-def _with_stop_facts(t: Tables, sides: DataFrame) -> DataFrame:
+def _with_stop_facts(t: Tables, as_of: AsOf, sides: DataFrame) -> DataFrame:
     """Add place, parcels, reports and measured times of each side's stop.
 
     A side is one end of a leg, so its consignments are joined to it alone
@@ -181,6 +189,8 @@ def _with_stop_facts(t: Tables, sides: DataFrame) -> DataFrame:
     no stop id; their NULL keys are spread by ``leg_no``.
     """
     on_stop = t("consumer_stop_consignments", "consumer_stop_id as stop_id", "consignment_id")
+    # Only what the sides' stops carry is followed into the parcel links and the log.
+    carried = keep(on_stop, sides, ["stop_id"])
     times = (
         t(
             "routeopt_service_time_data",
@@ -198,9 +208,9 @@ def _with_stop_facts(t: Tables, sides: DataFrame) -> DataFrame:
     places = t("addresses", "id as address_id", "coordinate.x as x", "coordinate.y as y")
     facts = [*sides.columns, "at_stop", "sequence", "address_id", "departure", "arrival"]
     rows = join_optional(sides, [stops, times, on_stop], "stop_id", "leg_no")
-    rows = join_optional(rows, _typed_parcels(t), "consignment_id", "leg_no")
+    rows = join_optional(rows, _typed_parcels(t, carried), "consignment_id", "leg_no")
     rows = join_optional(
-        rows, _reports_per_day(t), "consignment_id", "leg_no", also=["due_date"]
+        rows, _reports_per_day(t, as_of), "consignment_id", "leg_no", also=["due_date"]
     )
     grouped = rows.groupBy(*facts).agg(
         F.count_distinct("parcel_id").alias("num_parcels"),
@@ -210,23 +220,25 @@ def _with_stop_facts(t: Tables, sides: DataFrame) -> DataFrame:
     return join_optional(grouped, places, "address_id", "leg_no")
 
 
-def _terminal_stop_facts(t: Tables) -> DataFrame:
-    """Per terminal stop: place, loading reports and measured times."""
+def _terminal_stop_facts(t: Tables, legs: DataFrame) -> DataFrame:
+    """Per terminal stop of these legs: place, loading reports and measured times."""
+    on_stop = keep(
+        t("terminal_stop_consignments", "terminal_stop_id as ts_id", "consignment_id"), legs, ["ts_id"]
+    )
     updates = t(
         "parcel_status_updates", "consignment_id", "parcel_status_id as status", "date"
     ).where(c("status").isin(v.COLLECTED, v.RETURN_LABEL_COLLECTED))
     loaded = F.when(c("status") == v.COLLECTED, c("date"))
     labelled = F.when(c("status") == v.RETURN_LABEL_COLLECTED, c("date"))
-    reports = updates.groupBy("consignment_id").agg(
+    reports = keep(updates, on_stop, ["consignment_id"]).groupBy("consignment_id").agg(
         F.min(loaded).alias("delivery_first"),
         F.max(loaded).alias("delivery_last"),
         F.min(labelled).alias("collection_first"),
         F.max(labelled).alias("collection_last"),
     )
-    types = _typed_parcels(t).select("consignment_id", "parcel_type").distinct()
+    types = _typed_parcels(t, on_stop).select("consignment_id", "parcel_type").distinct()
     work = (
-        t("terminal_stop_consignments", "terminal_stop_id as ts_id", "consignment_id")
-        .join(reports, "consignment_id")
+        on_stop.join(reports, "consignment_id")
         .join(types, "consignment_id")
         .groupBy("ts_id")
         .agg(
@@ -316,11 +328,11 @@ def drive_legs(t: Tables, as_of: AsOf) -> DataFrame:
         return F.max(F.when(c("side") == side, F.struct(*seen))).alias(side)
 
     # Both ends of a leg come back together in one row.
-    both = _with_stop_facts(t, sides).groupBy(*leg).agg(end("from"), end("to"))
+    both = _with_stop_facts(t, as_of, sides).groupBy(*leg).agg(end("from"), end("to"))
     at_from, at_to = c("from.at_stop").isNotNull(), c("to.at_stop").isNotNull()
     factors = c("user_factor") * c("graph_factor")
     return (
-        join_optional(both, _terminal_stop_facts(t), "ts_id", "leg_no")
+        join_optional(both, _terminal_stop_facts(t, legs), "ts_id", "leg_no")
         .join(terminals, "terminal")
         .join(_drive_factors(t), "routeopt_route_id", "left")
         .select(

@@ -122,8 +122,10 @@ def order_progress_over_time(t: Tables, as_of: AsOf) -> DataFrame:
     boxed = t("parcel_box_assignments", "parcel_id", "id as assignment_id", "picked_up")
     rows = orders.join(parcels, "order_id").join(boxed, "parcel_id", "left")
     never_boxed = c("assignment_id").isNull()
+    # The scan log is cut to these parcels before it is reduced.
+    scans = keep(t("scanning_log", "parcel_id"), orders.join(parcels, "order_id"), ["parcel_id"])
     return (
-        flag(rows, t("scanning_log", "parcel_id"), ["parcel_id"], "scanned")
+        flag(rows, scans, ["parcel_id"], "scanned")
         .groupBy("created_date", "country")
         .agg(
             F.count("order_id").alias("orders"),
@@ -418,8 +420,9 @@ def old_undelivered(t: Tables, as_of: AsOf) -> DataFrame:
     waiting = exclude(
         orders.join(parcels, "order_id"), t("parcel_box_assignments", "parcel_id"), ["parcel_id"]
     )
+    scans = keep(t("scanning_log", "parcel_id"), waiting, ["parcel_id"])
     return (
-        keep(waiting, t("scanning_log", "parcel_id"), ["parcel_id"])
+        keep(waiting, scans, ["parcel_id"])
         .join(lockers, "locker_id")
         .join(zone_terminals(t), "zone_id")
         .select(
@@ -476,7 +479,11 @@ def locker_backlog(t: Tables, as_of: AsOf) -> DataFrame:
         )
         .select("order_id", "zone_id", "locker_id")
     )
-    places = zones(t).where(c("zone_type") == v.TO_LOCKER).select("zone_id", "terminal_id")
+    places = (
+        zones(t)
+        .where((c("zone_type") == v.TO_LOCKER) & c("terminal_id").isNotNull())
+        .select("zone_id", "terminal_id")
+    )
     not_home = exclude(orders.join(places, "zone_id"), t("consignments", "order_id"), ["order_id"])
     parcels = t("parcels", "id as parcel_id", "order_id")
     waiting = exclude(
@@ -484,8 +491,9 @@ def locker_backlog(t: Tables, as_of: AsOf) -> DataFrame:
         t("parcel_box_assignments", "parcel_id"),
         ["parcel_id"],
     )
+    log = t("scanning_log", "id as scan_id", "parcel_id", "user_id", "date")
     scans = latest_per_key(
-        t("scanning_log", "id as scan_id", "parcel_id", "user_id", "date"),
+        keep(log, waiting, ["parcel_id"]),
         ["parcel_id"],
         ["date", "scan_id"],
         ["user_id"],

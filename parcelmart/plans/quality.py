@@ -178,36 +178,38 @@ def timeslot_success(t: Tables, as_of: AsOf) -> DataFrame:
     An order counts once (by its first attempt).  A delivery more than 15
     minutes outside the slot is a miss; one that never happened is not.
     """
-    attempts = t("consignments", "id as consignment_id", "order_id", "interval_id", "cancellation_id")
-    paid = keep(
-        attempts.where(c("cancellation_id").isNull()).drop("cancellation_id"),
-        paid_timeslots(t),
-        ["consignment_id"],
-    )
     routes = routes_due(
         t, lambda due: on_or_between(due, as_of.day(-14), as_of.day(-1)), v.DISTRIBUTION
     )
-    stops = (
+    attempts = t("consignments", "id as consignment_id", "order_id", "interval_id", "cancellation_id")
+    open_attempts = attempts.where(
+        c("cancellation_id").isNull() & c("interval_id").isNotNull()
+    ).drop("cancellation_id")
+    # Few routes are recent, so each larger table is joined to what they have left of the one before.
+    visited = (
         routes.join(t("consumer_stops", "id as stop_id", "route_id"), "route_id")
         .join(
             t("consumer_stop_consignments", "consumer_stop_id as stop_id", "consignment_id"),
             "stop_id",
         )
         .select("consignment_id", "stop_id", "due_date")
+        .join(open_attempts, "consignment_id")
     )
     spans = t("interval_bounds", "id as interval_id", "start_ts", "stop_ts")
     first = F.struct("consignment_id", "stop_id", "due_date", "interval_id")
     slots = (
-        paid.join(stops, "consignment_id")
+        keep(visited, paid_timeslots(t), ["consignment_id"])
         .join(t("orders", "id as order_id", "token"), "order_id")
         .groupBy("token")
         .agg(F.min(first).alias("first"))
         .select("token", "first.*")
         .join(spans, "interval_id")
     )
+    reports = t("parcel_status_updates", "id", "consignment_id", "parcel_status_id", "date").where(
+        c("parcel_status_id") == v.DELIVERED
+    )
     delivered = (
-        t("parcel_status_updates", "id", "consignment_id", "parcel_status_id", "date")
-        .where(c("parcel_status_id") == v.DELIVERED)
+        keep(reports, slots, ["consignment_id"])
         .groupBy("consignment_id")
         .agg(F.max_by("date", "id").alias("delivered"))
     )
@@ -227,8 +229,8 @@ def timeslot_success(t: Tables, as_of: AsOf) -> DataFrame:
 def _spread(seconds: Column) -> list[Column]:
     """Mean and population deviation in minutes of a difference in seconds."""
     return [
-        F.round(F.avg(seconds) / 60, 6).alias("avg_minutes"),
-        F.round(F.stddev_pop(seconds) / 60, 6).alias("std_minutes"),
+        (F.avg(seconds) / 60).alias("avg_minutes"),
+        (F.stddev_pop(seconds) / 60).alias("std_minutes"),
     ]
 
 

@@ -19,8 +19,9 @@ from parcelmart.plans import (
     routes,
     unassigned,
 )
+from parcelmart.sources.scratch import fresh_folder
 from parcelmart.sources.sinks import stamped, write_files, write_table
-from parcelmart.sources.tables import Tables
+from parcelmart.sources.tables import Tables, with_intervals
 
 MINUTE, TEN_MINUTES, HOUR, FOUR_HOURS, DAY = "1 minute", "10 minutes", "1 hour", "4 hours", "daily"
 REPORTS, FEATURES = "reports", "features"
@@ -179,7 +180,11 @@ def build(key: str, tables: Tables, as_of: AsOf) -> DataFrame:
 def refresh_files(
     keys: Iterable[str], tables: Tables, as_of: AsOf, root: str, fmt: str = "parquet"
 ) -> dict[str, str]:
-    """Replace the files of the given marts; returns where each was written."""
+    """Replace the files of the given marts; returns where each was written.
+
+    The source holds ``intervals`` and ``timestamps``; their bounds are resolved once for all marts.
+    """
+    tables = with_intervals(tables, fresh_folder(tables.spark, "interval-bounds"))
     return {
         key: write_files(
             build(key, tables, as_of), f"{root}/{MARTS[key].schema}", MARTS[key].table, fmt
@@ -191,7 +196,8 @@ def refresh_files(
 def refresh_tables(
     keys: Iterable[str], tables: Tables, as_of: AsOf, namespaces: dict[str, str]
 ) -> dict[str, str]:
-    """Replace the catalog tables of the given marts."""
+    """Replace the catalog tables of the given marts, likewise."""
+    tables = with_intervals(tables, fresh_folder(tables.spark, "interval-bounds"))
     return {
         key: write_table(
             build(key, tables, as_of), MARTS[key].table, namespaces[MARTS[key].schema]

@@ -1,7 +1,8 @@
 """Relations several marts start from.
 
-Foreign keys are trusted: a table that a query would join only to follow a key
-(and takes no column from) is left out.
+Foreign keys are trusted: a key that is not NULL has a match. A table that a query
+would join only to follow a key (and takes no column from) is left out, and the
+key must not be NULL, as the join would have dropped the row.
 """
 
 from __future__ import annotations
@@ -32,8 +33,11 @@ def zones(t: Tables) -> DataFrame:
     )
 
 
-def terminals(t: Tables, with_country: bool = False) -> DataFrame:
-    """Terminals; the country costs a pass over the (large) address table."""
+def terminals(t: Tables, with_country: bool = False, addressed: bool = False) -> DataFrame:
+    """Terminals; the country costs a pass over the (large) address table.
+
+    ``addressed`` keeps those with an address without reading it.
+    """
     found = t(
         "warehouses",
         "id as terminal_id",
@@ -44,17 +48,22 @@ def terminals(t: Tables, with_country: bool = False) -> DataFrame:
     if with_country:
         address = t("addresses", "id as address_id", "country_code as terminal_country")
         found = found.join(address, "address_id")
+    elif addressed:
+        found = found.where(c("address_id").isNotNull())
     return found.drop("address_id")
 
 
 def zone_terminals(
-    t: Tables, zone_type: str | None = None, with_country: bool = False
+    t: Tables,
+    zone_type: str | None = None,
+    with_country: bool = False,
+    addressed: bool = False,
 ) -> DataFrame:
     """Zones with the terminal that serves them: a small dimension."""
     places = zones(t)
     if zone_type:
         places = places.where(c("zone_type") == zone_type)
-    return places.join(terminals(t, with_country), "terminal_id")
+    return places.join(terminals(t, with_country, addressed), "terminal_id")
 
 
 def routes_due(t: Tables, due, route_type: str, *columns: str) -> DataFrame:

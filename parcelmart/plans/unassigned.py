@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from parcelmart.functions import vocabulary as v
 from parcelmart.functions.clock import AsOf, ts_lit
 from parcelmart.functions.timeparts import micros_text
-from parcelmart.operators.joins import distinct_keys, exclude
+from parcelmart.operators.joins import distinct_keys, exclude, keep
 from parcelmart.plans.shared import zone_terminals
 from parcelmart.sources.tables import Tables
 
@@ -36,7 +36,7 @@ def _open_orders(t: Tables, as_of: AsOf, with_country: bool = False) -> DataFram
         )
         .where(c("cancellation_id").isNull() & (c("created_at") >= ts_lit(as_of.day(-14))))
         .drop("cancellation_id")
-        .join(zone_terminals(t, with_country=with_country), "zone_id")
+        .join(zone_terminals(t, with_country=with_country, addressed=True), "zone_id")
     )
 
 
@@ -92,8 +92,8 @@ def unassigned_parcels(t: Tables, as_of: AsOf) -> DataFrame:
     )
 
 
-def _scan_places(t: Tables) -> DataFrame:
-    """Distinct (parcel, terminal) pairs of the scan log with the terminal's country."""
+def _scan_places(t: Tables, parcels: DataFrame) -> DataFrame:
+    """Distinct (parcel, terminal) pairs of these parcels' scans with the terminal's country."""
     stations = (
         t("users", "id as user_id", "user_settings_id")
         .join(t("user_settings", "id as user_settings_id", "warehouse_id"), "user_settings_id")
@@ -102,13 +102,14 @@ def _scan_places(t: Tables) -> DataFrame:
     places = t("warehouses", "id as scan_terminal_id", "code as scan_code", "address_id").join(
         t("addresses", "id as address_id", "country_code as scan_country"), "address_id"
     )
-    # Reduced to (parcel, user) before the joins: a parcel scanned very often
-    # shrinks on the map side.
+    # One small table of users, so no join meets on the few terminals. The log is
+    # cut to the parcels first and reduced to (parcel, user): a parcel scanned
+    # very often shrinks on the map side.
+    users = stations.join(places, "scan_terminal_id").drop("scan_terminal_id")
     return (
-        t("scanning_log", "parcel_id", "user_id")
+        keep(t("scanning_log", "parcel_id", "user_id"), parcels, ["parcel_id"])
         .distinct()
-        .join(stations, "user_id", "left")
-        .join(places, "scan_terminal_id", "left")
+        .join(users, "user_id", "left")
         .select("parcel_id", "scan_code", "scan_country")
         .distinct()
     )
@@ -122,7 +123,7 @@ def _counts(t: Tables, as_of: AsOf, keys: list[str], parcels: DataFrame) -> Data
     multiplied input.  Only visible parcels count as scanned.
     """
     scanned = c("scan_hit").isNotNull()
-    seen = _scan_places(t).withColumn("scan_hit", F.lit(True))
+    seen = _scan_places(t, parcels).withColumn("scan_hit", F.lit(True))
     flags = {
         "scanned": scanned,
         "scanned_at_own_terminal": scanned & (c("scan_code") == c("terminal_code")),
@@ -163,9 +164,11 @@ def orders_not_assigned(t: Tables, as_of: AsOf) -> DataFrame:
 
 
 def orders_not_assigned_one_terminal(
-    t: Tables, as_of: AsOf, terminal_code: str = "TERM2"
+    t: Tables, as_of: AsOf, terminal_code: str | None = v.UNASSIGNED_TERMINAL
 ) -> DataFrame:
-    """The same per creation day, for one terminal only."""
+    """The same per creation day, for the one terminal that the deployment names."""
+    if terminal_code is None:
+        raise ValueError("set UNASSIGNED_TERMINAL in vocabulary.py")
     parcels = (
         unassigned_parcels(t, as_of)
         .where(c("terminal_code") == terminal_code)

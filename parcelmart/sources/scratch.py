@@ -31,5 +31,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
-    """A new, unused folder below the shared one."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused folder below the shared one, deleted when the session's JVM ends."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

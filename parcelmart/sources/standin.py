@@ -161,14 +161,14 @@ class StandInTables(Tables):
             "IF(priority LIKE '1%', 'RETURN', 'DELIVERY') AS type",
             "IF(k % 11 = 0, k, NULL) AS cancellation_id",
             "IF(k % 13 = 0, k, NULL) AS miss_id",
-            "k AS interval_id",
+            "IF(k % 41 = 0, NULL, k) AS interval_id",
         )
 
     def _locker_consignments(self, wanted: frozenset[str]) -> DataFrame:
         return self._base(BOX).selectExpr(
             "k AS id",
             "k AS order_id",
-            "k AS estimated_interval_id",
+            "IF(k % 41 = 0, NULL, k) AS estimated_interval_id",
             "IF(priority LIKE '1%', 'RETURN', 'DELIVERY') AS consignment_type",
             "IF(k % 11 = 0, k, NULL) AS cancellation_id",
             "IF(k % 13 = 0, k, NULL) AS miss_id",
@@ -314,7 +314,7 @@ class StandInTables(Tables):
         tail = [
             "CAST(k * 31 % 1009 AS INT) AS sequence",
             "1000 + k % 200 AS address_id",
-            "k AS estimated_interval_id",
+            "IF(k % 43 = 0, NULL, k) AS estimated_interval_id",
         ]
         planned = self._base(PLANNED).selectExpr("k AS id", f"{ROUTE} AS route_id", *tail)
         merchant = self._base(f"{ON_MERCHANT_STOP} AND {DOOR}").selectExpr(
@@ -603,7 +603,7 @@ class StandInTables(Tables):
             "IF(n = 24, 'OTHER', n_name) AS city",
             "country_code",
             "IF(x = 0, 'TO_DOOR', 'TO_LOCKER') AS type",
-            "n % 7 AS terminal_id",
+            "IF(n = 17, NULL, n % 7) AS terminal_id",
             f"IF(n % 12 = 11, {NOW}, NULL) AS deleted_at",
         )
 
@@ -622,7 +622,7 @@ class StandInTables(Tables):
             "concat('Terminal ', id) AS name",
             "concat('TERM', id) AS code",
             "IF(id = 6, 'OTHER', concat('City ', id)) AS city",
-            "id AS address_id",
+            "IF(id = 4, NULL, id) AS address_id",
             f"timestampadd(HOUR, -CAST(2400 + 24 * id AS INT), {NOW}) AS created_at",
             f"IF(id = 5, {NOW}, NULL) AS deleted_at",
             "IF(id % 2 = 0, 'LEFT', 'RIGHT') AS sorting_machine_assign_direction",
@@ -773,7 +773,7 @@ class StandInTables(Tables):
         cancelled = "ts - make_dt_interval(CAST(9291 + event_id % 500 - event_id % 200 AS INT))"
         return self.raw("events").where("event_type = 'signup'").selectExpr(
             "event_id AS id",
-            "user_id AS consumer_id",
+            "IF(event_id % 31 = 0, NULL, user_id) AS consumer_id",
             "event_id % 3 <> 0 AS active",
             f"timestampadd(HOUR, CAST(24 * (event_id % 90 - 30) AS INT), {NOW}) AS valid_to",
             f"IF(event_id % 4 = 0, {cancelled}, NULL) AS cancelled_at",

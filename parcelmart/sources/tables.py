@@ -14,6 +14,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from parcelmart.sources.schemas import database_of, schema_of
 
@@ -104,12 +105,27 @@ class JdbcTables(Tables):
             "url": url,
             "dbtable": relation,
             "fetchsize": str(self.fetch_size),
+            # The server's datetimes carry no zone.
+            "preferTimestampNTZ": "true",
         }
         return options | (split.options() if split else {})
 
+    def relation(self, name: str) -> str:
+        """The table, or for one with points a query that takes them apart on the server."""
+        fields = declared(name).fields
+        if not any(isinstance(field.dataType, StructType) for field in fields):
+            return name
+        parts = [
+            f"ST_X({f.name}) AS {f.name}_x, ST_Y({f.name}) AS {f.name}_y"
+            if isinstance(f.dataType, StructType)
+            else f.name
+            for f in fields
+        ]
+        return f"(SELECT {', '.join(parts)} FROM {name}) AS source"
+
     def load(self, name: str, wanted: frozenset[str]) -> DataFrame:
-        options = self.options(name, database_of(name), self.splits.get(name))
-        return self.spark.read.format("jdbc").options(**options).load()
+        options = self.options(self.relation(name), database_of(name), self.splits.get(name))
+        return typed(self.spark.read.format("jdbc").options(**options).load(), name)
 
     def query(self, sql: str, database: str, split: Split | None = None) -> DataFrame:
         """A query of the server's own dialect as a DataFrame."""
@@ -117,6 +133,23 @@ class JdbcTables(Tables):
         return self.spark.read.format("jdbc").options(**options).load()
 
 
+def declared(name: str) -> StructType:
+    return StructType.fromDDL(schema_of(name))
+
+
+def typed(df: DataFrame, name: str) -> DataFrame:
+    """A server's columns as the table declares them; points come as two columns."""
+
+    def column(field):
+        if isinstance(field.dataType, StructType):
+            both = F.col(f"{field.name}_x").isNotNull() & F.col(f"{field.name}_y").isNotNull()
+            point = F.struct(F.col(f"{field.name}_x").alias("x"), F.col(f"{field.name}_y").alias("y"))
+            return F.when(both, point).cast(field.dataType).alias(field.name)
+        return F.col(field.name).cast(field.dataType).alias(field.name)
+
+    return df.select(*(column(field) for field in declared(name).fields))
+
+
 def bounds(df: DataFrame, column: str) -> tuple | None:
     """Smallest and largest value of a column; None for an empty input."""
     row = df.agg(F.min(column).alias("low"), F.max(column).alias("high")).first()
@@ -132,8 +165,7 @@ def split_by_bounds(df: DataFrame, column: str, partitions: int = 4) -> Split |
 def interval_bounds(tables: Tables) -> DataFrame:
     """Interval ids with both ends resolved, from the two lookup tables.
 
-    Two joins over large lookups; run once per refresh and store the result as
-    ``interval_bounds`` rather than repeating it in every mart.
+    Two joins over large lookups, which a refresh runs once (``with_intervals``).
     """
     spans = tables("intervals", "id", "start_timestamp_id", "stop_timestamp_id")
     start = tables("timestamps", "id as start_timestamp_id", "date as start_ts")
@@ -143,3 +175,22 @@ def interval_bounds(tables: Tables) -> DataFrame:
         .join(stop, "stop_timestamp_id")
         .select("id", "start_ts", "stop_ts")
     )
+
+
+class WithIntervals(Tables):
+    """Another source whose ``interval_bounds`` are read from a stored result."""
+
+    def __init__(self, tables: Tables, path: str) -> None:
+        super().__init__(tables.spark)
+        self.tables, self.path = tables, path
+
+    def load(self, name: str, wanted: frozenset[str]) -> DataFrame:
+        if name == "interval_bounds":
+            return self.spark.read.schema(schema_of(name)).parquet(self.path)
+        return self.tables.load(name, wanted)
+
+
+def with_intervals(tables: Tables, path: str) -> Tables:
+    """Resolve the intervals once, store them, and serve them with the source's tables."""
+    interval_bounds(tables).write.mode("overwrite").parquet(path)
+    return WithIntervals(tables, path)

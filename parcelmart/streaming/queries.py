@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelmart.sources.scratch import fresh_folder
-from parcelmart.streaming.deltas import current_rows, read_log
+from parcelmart.streaming.deltas import current_rows, read_log, summed_rows
 from parcelmart.streaming.jobs import (
     HOURLY_SCHEMA,
     file_stream,
@@ -27,12 +27,12 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_per_hour_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events per hour and type, kept up to date by a windowed stream."""
+    """Events per hour and type, as sums of the micro-batches' counts."""
     folder = fresh_folder(spark, "events-per-hour")
-    counts = hourly_counts(_events(spark, sf_dir), "ts", "event_type")
-    run_to_log(counts, f"{folder}/log", f"{folder}/checkpoint")
+    events = _events(spark, sf_dir).select("ts", "event_type")
+    run_to_log(events, f"{folder}/log", f"{folder}/checkpoint", hourly_counts("ts", "event_type"))
     log = read_log(spark, f"{folder}/log", HOURLY_SCHEMA)
-    return current_rows(log, ["hour", "kind"])
+    return summed_rows(log, ["hour", "kind"], ["rows"])
 
 
 def latest_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
