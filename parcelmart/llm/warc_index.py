@@ -92,7 +92,8 @@ def write_archives(pages: DataFrame, folder: str) -> None:
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     slim = stage(pages.select(F.col("page_id").cast("long"), F.sha1(payload).alias("digest"), F.octet_length(payload).alias("size")), "payloads")
     firsts = slim.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    made = records(pages, firsts)
+    # Stored first, so that Spark knows its size: the pages are shuffled only if copies are many.
+    made = records(pages, stage(firsts, "first-copies"))
     short = made.where(F.col("size") <= LONG_BYTES).select("record")
     short.write.option("lineSep", RECORD_END).option("maxRecordsPerFile", FILE_RECORDS).text(f"{folder}/archives")
     if slim.where(F.col("size") > LONG_BYTES).head(1):
