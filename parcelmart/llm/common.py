@@ -39,6 +39,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(quoted(c)) for c in df.columns if c.lower() not in taken))
 
 
+def packed(df: DataFrame, name: str):
+    """All columns as one struct, so that no name of theirs can clash with an operator's own."""
+    return F.struct(*(F.col(quoted(c)) for c in df.columns)).alias(name)
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -79,14 +79,15 @@ def mix(docs: DataFrame, weights=WEIGHTS, tilts=TILTS, share=1.5, cap=2.0) -> Da
     """
     kept = without(docs, *ADDED)
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    base = kept.withColumns(
-        {
-            "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
-            "_source": F.col("source"),
-            "_order": order,
-            "_part": F.substring(order, 1, 3),
-            "_tie": F.xxhash64("text"),
-        }
+    base = kept.select(
+        # Under names of our own, which none of the others here can clash with.
+        *(F.col(quoted(c)).alias(f"_input{i}") for i, c in enumerate(kept.columns)),
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.col("doc_id").alias("_id"),
+        F.col("source").alias("_source"),
+        order.alias("_order"),
+        F.substring(order, 1, 3).alias("_part"),
+        F.xxhash64("text").alias("_tie"),
     )
     parts = base.groupBy(F.col("_source").alias("source"), "_part").agg(F.sum("size").alias("part_size"))
     in_source = W.partitionBy("source")
@@ -100,7 +101,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, tilts=TILTS, share=1.5, cap=2.0) -> Da
     goals = targets(sizes, weights, tilts, share, cap)
     parts = parts.drop("source_size").alias("p").join(goals.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source")))
     parts = parts.select(F.col("p.source").alias("p_source"), F.col("_part").alias("p_part"), "before", "source_size", "target", "tilt")
-    inside = W.partitionBy("_source", "_part").orderBy("_order", "doc_id", "size", "_tie").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("_source", "_part").orderBy("_order", "_id", "size", "_tie").rowsBetween(W.unboundedPreceding, -1)
     summed = base.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     joined = summed.join(parts, F.col("_source").eqNullSafe(F.col("p_source")) & (F.col("_part") == F.col("p_part")))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -118,12 +119,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, tilts=TILTS, share=1.5, cap=2.0) -> Da
         .withColumn("copies", (F.col("_whole") + extra).cast("int"))
         .withColumn("taken", F.col("size") * F.col("copies"))
         .withColumn("positions", F.when(F.col("copies") > 0, placed).otherwise(F.array().cast("array<double>")))
-        .select(*(F.col(quoted(c)) for c in kept.columns), *ADDED)
+        .select(*(F.col(f"_input{i}").alias(c) for i, c in enumerate(kept.columns)), *ADDED)
     )
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
-    """One row per copy taken, range-sorted by its `position`."""
-    copies = mixed.withColumn("position", F.explode("positions")).drop("positions")
-    keys = ("position", "source", "doc_id")
+    """One row per copy taken, range-sorted by its `mix_position`."""
+    copies = mixed.withColumn("mix_position", F.explode("positions")).drop("positions")
+    keys = ("mix_position", "source", "doc_id")
     return copies.repartitionByRange(*keys).sortWithinPartitions(*keys)

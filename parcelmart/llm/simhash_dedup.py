@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelmart.llm.common import parallelism, quoted, stage, without
+from parcelmart.llm.common import packed, parallelism, stage, without
 from parcelmart.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -239,7 +239,6 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, max_bits: int = MAX_BIT
     """The row with the smallest doc_id of each group (ties: the smallest text hash), all columns kept."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_hash")).alias("first")
     chosen = near_duplicates(docs, k, max_bits).groupBy("root").agg(first).select("first.doc_id", "first.text_hash").distinct()
-    d, c = docs.withColumn("_hash", F.xxhash64("text")).alias("d"), chosen.alias("c")
-    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._hash") == F.col("c.text_hash"))
-    kept = d.join(c, same, "left_semi").dropDuplicates(["doc_id", "_hash"])
-    return kept.select(*(quoted(name) for name in docs.columns))
+    rows = docs.select(packed(docs, "row"), F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
+    return rows.join(chosen, same, "left_semi").dropDuplicates(["own_id", "own_hash"]).select("row.*")
