@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelmart.llm import curriculum, decontaminate, gam_quality, huffman_ids, simhash_dedup
-from parcelmart.llm.common import quoted, shared_path, stage, table
+from parcelmart.llm.common import packed, shared_path, stage, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +30,8 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in training order, one row per copy the mix takes."""
-    ordered = curriculum.training_order(curriculum.mix(docs))
-    return ordered.select(*(quoted(c) for c in docs.columns))
+    rows = docs.select(packed(docs, "document"), "doc_id", "source", "text")
+    return curriculum.training_order(curriculum.mix(rows)).select("document.*")
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
