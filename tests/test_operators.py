@@ -228,3 +228,13 @@ def test_manifest_expands_groups_once():
     jobs = parse_manifest(["orders", "routes:stops", " stops : parcels"], keys=("id",))
     assert [job.table for job in jobs] == ["orders", "routes", "stops", "parcels"]
     assert all(isinstance(job, Replicated) and job.keys == ("id",) for job in jobs)
+
+
+def test_a_change_without_a_mark_deletes_nothing(spark):
+    log = spark.createDataFrame(
+        [(1, 1, 1, None, "a"), (2, 1, 2, True, "b"), (3, 1, 3, False, "c")], LOG
+    )
+    final = newest_changes(log, ["key"], ["at", "change_id"], F.col("gone"))
+    assert rows(final, "value") == [("a",), ("c",)]
+    state = apply_changes(log.limit(0), log, ["key"], ["at", "change_id"])
+    assert rows(live_rows(state, "gone"), "value") == [("a",), ("c",)]

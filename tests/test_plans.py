@@ -1,7 +1,7 @@
 """Marts on hand-made tables, properties and physical plans."""
 
 import re
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +10,17 @@ from pyspark.sql.types import _parse_datatype_string
 import __spark_entry__ as entry
 from conftest import TESTDATA
 from parcelmart.functions.clock import AsOf
-from parcelmart.plans import booking, direct, lockers, quality, registry, routes, unassigned
+from parcelmart.plans import (
+    booking,
+    consumers,
+    direct,
+    legs,
+    lockers,
+    quality,
+    registry,
+    routes,
+    unassigned,
+)
 from parcelmart.sources.schemas import CONSUMERS, OPERATIONS, schema_of
 from parcelmart.sources.standin import STANDIN_AS_OF, StandInTables
 from parcelmart.sources.tables import (
@@ -276,6 +286,58 @@ def test_jdbc_reads_are_split_by_range(spark):
     assert split == Split("id", 5, 24, 8)
 
 
+def test_memberships_without_a_consumer_do_not_count(spark):
+    later = NOW + timedelta(days=3)
+    rows = [{"id": i, "consumer_id": key, "active": True, "valid_to": later} for i, key in enumerate((7, 7, None))]
+    found = consumers.active_memberships(GivenTables(spark, timeslot_subscription=rows), AS_OF).first()
+    assert (found.active_memberships, found.signed_up) == (2, 1)
+
+
+def test_stops_without_an_interval_are_no_neighbours(spark):
+    stops = [
+        {"id": i, "route_id": 1, "sequence": i, "address_id": 5, "estimated_interval_id": key}
+        for i, key in ((1, 10), (2, None), (3, 11))
+    ]
+    given = GivenTables(
+        spark,
+        routes=[{"id": 1, "type": "DISTRIBUTION", "due_date": TODAY}],
+        consumer_stops=stops,
+        addresses=[{"id": 5, "coordinate": (1.0, 2.0)}],
+        routeopt_service_time_data=[{"route_id": 1, "consumer_stop_id": i, "departure_time": NOW} for i in (1, 2, 3)],
+    )
+    found = {r.stop_id: r.prev_stop_id for r in legs.stop_pairs(given, AS_OF).collect()}
+    assert found == {1: None, 3: 1}
+    assert {r.stop_id for r in legs.leg_time_features(given, AS_OF).collect()} == {1, 3}
+
+
+def test_locker_zones_without_a_terminal_have_no_backlog(spark):
+    zones = [{"id": z, "type": "TO_LOCKER", "terminal_id": key} for z, key in ((1, 3), (2, None))]
+    orders = [{"id": z, "created_at": NOW, "locker_id": z, "delivery_postal_code_zone_id": z} for z in (1, 2)]
+    given = GivenTables(
+        spark,
+        postal_code_zones=zones,
+        orders=orders,
+        parcels=[{"id": 100 + z, "order_id": z} for z in (1, 2)],
+        lockers=[{"id": z, "identifier": f"L{z}"} for z in (1, 2)],
+    )
+    assert [(r.identifier, r.orders) for r in lockers.locker_backlog(given, AS_OF).collect()] == [("L1", 1)]
+
+
+def test_orders_of_terminals_without_an_address_are_not_listed(spark):
+    given = GivenTables(
+        spark,
+        warehouses=[{"id": w, "code": f"T{w}", "address_id": key} for w, key in ((1, 9), (2, None))],
+        addresses=[{"id": 9, "country_code": "SE"}],
+        postal_code_zones=[{"id": w, "type": "TO_DOOR", "country_code": "SE", "terminal_id": w} for w in (1, 2)],
+        orders=[{"id": w, "buyer_id": 4, "created_at": NOW, "delivery_postal_code_zone_id": w} for w in (1, 2)],
+        parcels=[{"id": w, "order_id": w, "visible": True} for w in (1, 2)],
+        buyers=[{"id": 4, "external_name": "shop"}],
+    )
+    assert [r.terminal_code for r in unassigned.orders_not_assigned(given, AS_OF).collect()] == ["T1"]
+    with pytest.raises(ValueError, match="UNASSIGNED_TERMINAL"):
+        unassigned.orders_not_assigned_one_terminal(given, AS_OF)
+
+
 def test_jdbc_columns_get_their_declared_types(spark):
     """Points are taken apart on the server and put together again; nothing else changes."""
     tables = JdbcTables(spark, {"url": "jdbc:mysql://host/{database}"}, {"operations": "ops", "consumers": "people"})
