@@ -83,9 +83,7 @@ def _attempts_of_business_day(t: Tables, as_of: AsOf, *route_columns: str) -> Da
         "consignment_id",
         "cancellation_id",
         "miss_id",
-        "terminal_id",
-        "terminal_name",
-        "terminal_country",
+        "zone_id",
         "type",
         "attempts",
         "date",
@@ -93,14 +91,12 @@ def _attempts_of_business_day(t: Tables, as_of: AsOf, *route_columns: str) -> Da
     ]
     home = (
         door_attempts(t, routes_due(t, today, v.DISTRIBUTION, *route_columns))
-        .join(zone_terminals(t, v.TO_DOOR, with_country=True), "zone_id")
         .withColumn("attempts", F.lit(1))
         .withColumn("delivery_type", F.lit("Home"))
         .select(*keep)
     )
     box = (
         box_attempts(t, routes_due(t, today, v.LOCKER, *route_columns))
-        .join(zone_terminals(t, v.TO_LOCKER, with_country=True), "zone_id")
         .join(starts(t, "estimated_interval_id"), "estimated_interval_id")
         .withColumn("date", F.to_date("start_ts"))
         .withColumn("delivery_type", F.lit("Box"))
@@ -109,23 +105,42 @@ def _attempts_of_business_day(t: Tables, as_of: AsOf, *route_columns: str) -> Da
     return home.unionByName(box)
 
 
+def _per_terminal(t: Tables, per_zone: DataFrame) -> DataFrame:
+    """Counts per delivery type and zone as counts per terminal.
+
+    An attempt has one zone, so the counts add up; only they meet the terminals
+    and their (large) addresses.
+    """
+    served = {"Home": v.TO_DOOR, "Box": v.TO_LOCKER}
+    of_type = F.when(c("delivery_type") == "Home", served["Home"]).otherwise(served["Box"])
+    keys = ["delivery_type", "terminal_id", "terminal_name", "terminal_country"]
+    counts = [name for name in per_zone.columns if name not in ("delivery_type", "zone_id", "date")]
+    return (
+        per_zone.join(zone_terminals(t, with_country=True), "zone_id")
+        .where(c("zone_type") == of_type)
+        .groupBy(*keys)
+        .agg(*(F.sum(name).alias(name) for name in counts), F.min("date").alias("date"))
+        .drop("terminal_id")
+        .distinct()
+    )
+
+
 def miss_category_pivot(t: Tables, as_of: AsOf) -> DataFrame:
     attempts = _attempts_of_business_day(t, as_of).where(
         (c("delivery_type") == "Box") | c("type").isin(*v.ATTEMPT_TYPES)
     )
     misses = t("misses", "id as miss_id", "category")
-    return (
+    per_zone = (
         join_optional(attempts, misses, "miss_id", "consignment_id")
-        .groupBy("delivery_type", "terminal_id", "terminal_name", "terminal_country")
+        .groupBy("delivery_type", "zone_id")
         .agg(
             *pivot_counts(c("category"), category_columns(v.MISS_CATEGORIES), c("attempts")),
             F.sum("attempts").alias("consignment_total"),
             count_where(c("category").isNotNull(), c("attempts")).alias("miss_total"),
             F.min("date").alias("date"),
         )
-        .drop("terminal_id")
-        .distinct()
     )
+    return _per_terminal(t, per_zone)
 
 
 def cancellation_category_pivot(t: Tables, as_of: AsOf) -> DataFrame:
@@ -141,11 +156,11 @@ def cancellation_category_pivot(t: Tables, as_of: AsOf) -> DataFrame:
     own = c("cancellation_category").isin(*v.OPERATOR_CANCELLATIONS)
     weight = c("attempts")
     reasons = category_columns(v.CANCELLATION_CATEGORIES, v.MERGED_CANCELLATIONS)
-    return (
+    per_zone = (
         join_optional(attempts, cancellations(t), "cancellation_id", "consignment_id")
         .join(planned, "routeopt_route_id", "left")
         .join(runs, "optimization_id", "left")
-        .groupBy("delivery_type", "terminal_id", "terminal_name", "terminal_country")
+        .groupBy("delivery_type", "zone_id")
         .agg(
             *pivot_counts(c("cancellation_category"), reasons, weight),
             count_where(c("cancellation_category").isNotNull(), weight).alias(
@@ -157,6 +172,5 @@ def cancellation_category_pivot(t: Tables, as_of: AsOf) -> DataFrame:
             count_where(own & hour.between(16, 17), weight).alias("own_between_16_18"),
             count_where(own & (hour >= 18), weight).alias("own_after_18"),
         )
-        .drop("terminal_id")
-        .distinct()
     )
+    return _per_terminal(t, per_zone)
