@@ -141,16 +141,25 @@ def planned_attempts_by_terminal_day(t: Tables, as_of: AsOf) -> DataFrame:
     ).where(billable(c("cancelled_at"), c("deadline")))
     parcels = t("parcel_consignments", "consignment_id", "parcel_id")
     on_stop = t("consumer_stop_consignments", "consignment_id", "id as on_stop_id")
-    return (
+    # An attempt has one zone: counted by it first, so only counts meet the terminals' addresses.
+    per_zone = (
         planned.join(_order_zones(t), "order_id")
-        .join(zone_terminals(t, v.TO_DOOR, with_country=True), "zone_id")
         .join(parcels, "consignment_id", "left")
         .join(on_stop, "consignment_id", "left")
-        .groupBy("terminal_code", "terminal_country", "date")
+        .groupBy("zone_id", "date")
         .agg(
             F.count("consignment_id").alias("attempts"),
             F.count("cancelled_at").alias("cancelled_attempts"),
-            (F.count("on_stop_id") > 0).alias("routes_saved"),
+            F.count("on_stop_id").alias("on_stops"),
+        )
+    )
+    return (
+        per_zone.join(zone_terminals(t, v.TO_DOOR, with_country=True), "zone_id")
+        .groupBy("terminal_code", "terminal_country", "date")
+        .agg(
+            F.sum("attempts").alias("attempts"),
+            F.sum("cancelled_attempts").alias("cancelled_attempts"),
+            (F.sum("on_stops") > 0).alias("routes_saved"),
         )
         .withColumn("day_of_week", day_name(c("date")))
         .withColumn("route_group", F.lit("Route group name"))

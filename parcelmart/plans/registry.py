@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -170,6 +171,34 @@ EXTRAS: dict[str, Callable[[Tables, AsOf], DataFrame]] = {
 }
 
 
+# Marts made of one extract, and how: a refresh of several computes it once.
+SHARED: dict[str, tuple[Callable[[Tables, AsOf], DataFrame], Callable[[DataFrame], DataFrame]]] = {
+    "orders_not_assigned": (unassigned.not_assigned_by_day, unassigned.over_days),
+    "orders_not_assigned_one_terminal": (unassigned.not_assigned_by_day, unassigned.of_terminal),
+    "planned_attempts_by_terminal_day": (booking.planned_attempts_by_terminal_day, lambda df: df),
+    "planned_box_attempts": (booking.planned_attempts_by_terminal_day, lambda df: df),
+}
+
+
+def _results(keys: Iterable[str], tables: Tables, as_of: AsOf) -> Iterator[tuple[str, DataFrame]]:
+    """The marts as published; intervals and shared extracts are stored once for all of them."""
+    keys = list(keys)
+    tables = with_intervals(tables, fresh_folder(tables.spark, "interval-bounds"))
+    uses = Counter(SHARED[key][0] for key in keys if key in SHARED)
+    stored: dict[Callable, DataFrame] = {}
+    for key in keys:
+        extract, finish = SHARED.get(key, (None, None))
+        if uses[extract] < 2:
+            yield key, build(key, tables, as_of)
+            continue
+        if extract not in stored:
+            path = fresh_folder(tables.spark, extract.__name__)
+            extract(tables, as_of).write.parquet(path)
+            stored[extract] = tables.spark.read.parquet(path)
+        result = finish(stored[extract])
+        yield key, stamped(result, as_of.now) if MARTS[key].stamp else result
+
+
 def build(key: str, tables: Tables, as_of: AsOf) -> DataFrame:
     """A mart as it is published, with its refresh stamp if it carries one."""
     mart = MARTS[key]
@@ -184,12 +213,9 @@ def refresh_files(
 
     The source holds ``intervals`` and ``timestamps``; their bounds are resolved once for all marts.
     """
-    tables = with_intervals(tables, fresh_folder(tables.spark, "interval-bounds"))
     return {
-        key: write_files(
-            build(key, tables, as_of), f"{root}/{MARTS[key].schema}", MARTS[key].table, fmt
-        )
-        for key in keys
+        key: write_files(result, f"{root}/{MARTS[key].schema}", MARTS[key].table, fmt)
+        for key, result in _results(keys, tables, as_of)
     }
 
 
@@ -197,12 +223,9 @@ def refresh_tables(
     keys: Iterable[str], tables: Tables, as_of: AsOf, namespaces: dict[str, str]
 ) -> dict[str, str]:
     """Replace the catalog tables of the given marts, likewise."""
-    tables = with_intervals(tables, fresh_folder(tables.spark, "interval-bounds"))
     return {
-        key: write_table(
-            build(key, tables, as_of), MARTS[key].table, namespaces[MARTS[key].schema]
-        )
-        for key in keys
+        key: write_table(result, MARTS[key].table, namespaces[MARTS[key].schema])
+        for key, result in _results(keys, tables, as_of)
     }
 
 

@@ -159,22 +159,34 @@ def _counts(t: Tables, as_of: AsOf, keys: list[str], parcels: DataFrame) -> Data
     )
 
 
+def not_assigned_by_day(t: Tables, as_of: AsOf) -> DataFrame:
+    """Counts per creation day and key: what both marts below are made of."""
+    parcels = unassigned_parcels(t, as_of).withColumn("created_date", F.to_date("created_at"))
+    return _counts(t, as_of, ["created_date", *ORDER_KEYS], parcels)
+
+
+def over_days(by_day: DataFrame) -> DataFrame:
+    """An order has one creation day, so the days' counts add up."""
+    counts = ["orders", "parcels", *SCANS]
+    keys = [name for name in by_day.columns if name not in ("created_date", *counts)]
+    return by_day.groupBy(*keys).agg(*(F.sum(name).alias(name) for name in counts))
+
+
+def of_terminal(by_day: DataFrame, terminal_code: str | None = v.UNASSIGNED_TERMINAL) -> DataFrame:
+    if terminal_code is None:
+        raise ValueError("set UNASSIGNED_TERMINAL in vocabulary.py")
+    return by_day.where(c("terminal_code") == terminal_code)
+
+
 def orders_not_assigned(t: Tables, as_of: AsOf) -> DataFrame:
-    return _counts(t, as_of, ORDER_KEYS, unassigned_parcels(t, as_of))
+    return over_days(not_assigned_by_day(t, as_of))
 
 
 def orders_not_assigned_one_terminal(
     t: Tables, as_of: AsOf, terminal_code: str | None = v.UNASSIGNED_TERMINAL
 ) -> DataFrame:
     """The same per creation day, for the one terminal that the deployment names."""
-    if terminal_code is None:
-        raise ValueError("set UNASSIGNED_TERMINAL in vocabulary.py")
-    parcels = (
-        unassigned_parcels(t, as_of)
-        .where(c("terminal_code") == terminal_code)
-        .withColumn("created_date", F.to_date("created_at"))
-    )
-    return _counts(t, as_of, ["created_date", *ORDER_KEYS], parcels)
+    return of_terminal(not_assigned_by_day(t, as_of), terminal_code)
 
 
 def orders_not_assigned_union(t: Tables, as_of: AsOf) -> DataFrame:

@@ -240,13 +240,23 @@ def test_every_published_table_is_registered_once():
 
 def test_marts_are_replaced_and_repeatable(spark, tmp_path):
     tables = StandInTables(spark, SF)
-    keys = ["limits_from_today", "cancellation_rate_per_day"]
+    keys = [
+        "limits_from_today",
+        "cancellation_rate_per_day",
+        "planned_attempts_by_terminal_day",
+        "planned_box_attempts",
+    ]
     first = registry.refresh_files(keys, tables, STANDIN_AS_OF, str(tmp_path))
     before = {key: sorted(spark.read.parquet(path).collect()) for key, path in first.items()}
     second = registry.refresh_files(keys, tables, STANDIN_AS_OF, str(tmp_path))
     assert first == second
     after = {key: sorted(spark.read.parquet(path).collect()) for key, path in second.items()}
     assert before == after
+    # The two marts of one extract are what the plan gives.
+    plan = booking.planned_attempts_by_terminal_day(tables, STANDIN_AS_OF)
+    for key in keys[2:]:
+        published = spark.read.parquet(first[key]).select(*plan.columns)
+        assert sorted(published.collect()) == sorted(plan.collect())
     stamped = spark.read.parquet(first["cancellation_rate_per_day"])
     assert [row[0] for row in stamped.select("refreshed_at").distinct().collect()] == [STANDIN_AS_OF.now]
     assert "refreshed_at" not in spark.read.parquet(first["limits_from_today"]).columns
