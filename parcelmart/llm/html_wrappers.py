@@ -10,12 +10,20 @@ a host are aligned the same way, so a host is inferred where its pages lie, then
 part by part; only wrappers travel, whose sequences hold at most MAX_SIBLINGS
 siblings, whose depth is at most MAX_DEPTH and whose texts are short or a digest.
 
-The wrapper's slots are then told apart once per host: slots below menus,
+Every slot counts its characters, those inside links, its pages, and the texts all of
+these have in common. Slots are then told apart once per host. Texts in common
+on five or more pages while others vary belong to the template; where tags
+speak for main text this holds for slots no page is without, and not for headings.
+Alike siblings in a row share one slot, so a text is common there if every page's run has it. A slot of
+links is no main text unless tags speak for it. Tags and names are evidence on slots: those below menus,
 headers, footers, sidebars, notices, adverts, forms or comments are dropped; of the
-others those below an article are the main text, else those below a main
-element, else those below an element named like one. For pages without any
-of these the remaining slots count, except lists of links and texts that are the same
-on all (five or more) pages while others vary.
+others those below an article come first, then those below a main
+element, then those below an element named like one, then any other.
+
+A page is read by aligning it with its host's wrapper, level by level: siblings go to
+the positions of the expression in an order it accepts, and where several ways are
+left, to those whose constants and members agree best. The main text is what
+lies in the page's best slots, less the template's texts.
 
 Defined results: a null or empty page, or one without main text, has the empty
 text; a null or odd url belongs to the empty host; unclosed and stray tags are repaired
@@ -29,6 +37,7 @@ import hashlib
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -49,6 +58,7 @@ HELD_HOSTS = 2000
 HOST_PARTS = 32
 # Pages from which on a text that never changes belongs to the template.
 TEMPLATE_PAGES = 5
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "dt", "th", "caption", "legend", "figcaption"}
 
 # Elements of HTML.
 BLOCKS = set(
@@ -116,13 +126,12 @@ def _signature(tag: str, attrs: str) -> str:
 
 
 class Page:
-    """Blocks of text in page order: (path, text, characters inside links)."""
+    """The tree of blocks: [signature, children], texts as ["#", text or digest, text, characters inside links]."""
 
     def __init__(self, source: str | None):
-        self.blocks: list[tuple[str, str, int]] = []
         self.tree: list = ["", []]
-        # Open elements: name, path, node.
-        self.open: list[tuple[str, str, list]] = [("", "", self.tree)]
+        # Open elements: name, node.
+        self.open: list[tuple[str, list]] = [("", self.tree)]
         self.text: list[str] = []
         self.links, self.linked, self.deeper = 0, 0, 0
         self._read(source or "")
@@ -153,9 +162,8 @@ class Page:
     def _flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            _, path, node = self.open[-1]
-            self.blocks.append((path, text, self.linked))
-            node[1].append(["#", text if len(text) <= TEXT_KEPT else hashlib.sha1(text.encode("utf-8", "surrogatepass")).hexdigest()])
+            kept = text if len(text) <= TEXT_KEPT else hashlib.sha1(text.encode("utf-8", "surrogatepass")).hexdigest()
+            self.open[-1][1][1].append(["#", kept, text, self.linked])
         self.text, self.linked = [], 0
 
     def _pop(self, upto: int) -> None:
@@ -170,7 +178,7 @@ class Page:
             self.links = 1
         if tag not in BLOCKS:
             return
-        names = [name for name, _, _ in self.open]
+        names = [name for name, _ in self.open]
         if tag in ("html", "body") and tag in names:
             return
         if tag in CLOSED_BY:
@@ -188,11 +196,9 @@ class Page:
         if len(self.open) >= MAX_DEPTH:
             self.deeper += 1
             return
-        signature = _signature(tag, attrs)
-        node: list = [signature, []]
-        _, path, parent = self.open[-1]
-        parent[1].append(node)
-        self.open.append((tag, f"{path}/{signature}", node))
+        node: list = [_signature(tag, attrs), []]
+        self.open[-1][1][1].append(node)
+        self.open.append((tag, node))
 
     def _end(self, tag: str) -> None:
         if tag == "a":
@@ -201,21 +207,23 @@ class Page:
             self._flush()
             self.deeper -= 1
         elif tag in BLOCKS and tag not in ("html", "body"):
-            at = max((i for i, (name, _, _) in enumerate(self.open) if name == tag), default=0)
+            at = max((i for i, (name, _) in enumerate(self.open) if name == tag), default=0)
             if at:
                 self._pop(at)
         elif tag == "br":
             self.text.append(" ")
 
 
-# A wrapper's node is [signature, quantifier, children or text]: quantifier "", "?", "+" or "*";
-# signature "#" is a text (its content, or null for a slot) and "()" a repeated group.
+# A wrapper's node is [signature, quantifier, children]: quantifier "", "?", "+" or "*", signature "()" for a
+# repeated group. A text is ["#", quantifier, its content or null if it varies, [characters, characters in links,
+# pages], texts that all of these pages have here].
 
 
 def of_page(node: list) -> list:
     """The wrapper that accepts one page."""
-    signature, inside = node
-    return [signature, "", inside] if signature == "#" else [signature, "", _reduced([of_page(child) for child in inside])]
+    if node[0] == "#":
+        return ["#", "", node[1], [len(node[2]), node[3], 1], [node[1]]]
+    return [node[0], "", _reduced([of_page(child) for child in node[1]])]
 
 
 def _key(node: list) -> str:
@@ -229,28 +237,35 @@ def _often(a: str, b: str, repeated: bool = False) -> str:
     return ("*" if many else "?") if optional else ("+" if many else "")
 
 
-def merged(a: list, b: list, repeated: bool = False) -> list:
-    """The wrapper that accepts what either of two alike nodes does, or both in a row."""
+def merged(a: list, b: list, repeated: bool = False, same: bool = False) -> list:
+    """The wrapper that accepts what either of two alike nodes does, or both in a row; `same` if both are of the same pages."""
     often = _often(a[1], b[1], repeated)
-    if a[0] == "#":
-        return ["#", often, a[2] if a[2] == b[2] else None]
-    return [a[0], often, aligned(a[2], b[2])]
-
-
-def aligned(xs: list, ys: list) -> list:
+    if a[0] != "#":
+        return [a[0], often, aligned(a[2], b[2], same)]
+    (chars, linked, pages), (more, more_linked, others) = a[3], b[3]
+    if same:
+        # What only the rarer one has is not on all pages.
+        common = {t for node in (a, b) if node[3][2] == max(pages, others) for t in node[4]}
+    else:
+        common = set(a[4]) & set(b[4])
+    counts = [chars + more, linked + more_linked, max(pages, others) if same else pages + others]
+    return ["#", often, a[2] if a[2] == b[2] else None, counts, sorted(common)]
+
+
+def aligned(xs: list, ys: list, same: bool = False) -> list:
     """Match alike nodes in order as often as possible; the others become optional."""
     kx, ky = [_key(x) for x in xs], [_key(y) for y in ys]
     if kx == ky:
-        return [merged(x, y) for x, y in zip(xs, ys, strict=True)]
+        return [merged(x, y, same=same) for x, y in zip(xs, ys, strict=True)]
     best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
     for i in range(len(xs) - 1, -1, -1):
         for j in range(len(ys) - 1, -1, -1):
             best[i][j] = best[i + 1][j + 1] + 1 if kx[i] == ky[j] else max(best[i + 1][j], best[i][j + 1])
     out, i, j = [], 0, 0
-    maybe = lambda node: [node[0], _often(node[1], "?"), node[2]]
+    maybe = lambda node: [node[0], _often(node[1], "?"), *node[2:]]
     while i < len(xs) or j < len(ys):
         if i < len(xs) and j < len(ys) and kx[i] == ky[j]:
-            out.append(merged(xs[i], ys[j]))
+            out.append(merged(xs[i], ys[j], same=same))
             i, j = i + 1, j + 1
         elif j == len(ys) or (i < len(xs) and best[i + 1][j] >= best[i][j + 1]):
             out.append(maybe(xs[i]))
@@ -271,18 +286,18 @@ def _reduced(nodes: list) -> list:
                 at += 1
                 continue
             if size == 1:
-                nodes = [*nodes[:at], merged(first[0], second[0], True), *nodes[at + 2 :]]
+                nodes = [*nodes[:at], merged(first[0], second[0], True, True), *nodes[at + 2 :]]
             else:
-                group = ["()", "+", [merged(x, y) for x, y in zip(first, second, strict=True)]]
+                group = ["()", "+", [merged(x, y, same=True) for x, y in zip(first, second, strict=True)]]
                 while [_key(x) for x in nodes[at + 2 * size : at + 3 * size]] == [_key(x) for x in first]:
-                    group[2] = [merged(x, y) for x, y in zip(group[2], nodes[at + 2 * size : at + 3 * size], strict=True)]
+                    group[2] = [merged(x, y, same=True) for x, y in zip(group[2], nodes[at + 2 * size : at + 3 * size], strict=True)]
                     del nodes[at + 2 * size : at + 3 * size]
                 nodes = [*nodes[:at], group, *nodes[at + 2 * size :]]
     if len(nodes) > MAX_SIBLINGS:
         members: dict[str, list] = {}
         for node in _flat(nodes):
-            members[node[0]] = merged(members[node[0]], node) if node[0] in members else node
-        nodes = [["()", "+", [[n[0], _often(n[1], "?"), n[2]] for _, n in sorted(members.items())]]]
+            members[node[0]] = merged(members[node[0]], node, same=True) if node[0] in members else node
+        nodes = [["()", "+", [[n[0], _often(n[1], "?"), *n[2:]] for _, n in sorted(members.items())]]]
     return nodes
 
 
@@ -296,7 +311,7 @@ def _flat(nodes: list) -> Iterator[list]:
 
 def as_text(node: list) -> str:
     """The wrapper as a regular expression over tags, texts and slots."""
-    signature, often, inside = node
+    signature, often, inside = node[:3]
     if signature == "#":
         return ("#" if inside is None else json.dumps(inside, ensure_ascii=False)) + often
     inner = " ".join(as_text(child) for child in inside)
@@ -306,87 +321,216 @@ def as_text(node: list) -> str:
 
 
 class Wrapper:
-    """A host's wrapper, with pages seen and (characters, characters in links, pages) per path."""
+    """A host's wrapper and the number of its pages."""
 
-    def __init__(self, pages: int = 0, tree: list | None = None, paths: dict | None = None):
-        self.pages, self.tree, self.paths = pages, tree, paths or {}
+    def __init__(self, pages: int = 0, tree: list | None = None):
+        self.pages, self.tree = pages, tree
 
     def add(self, other: Wrapper) -> None:
         self.pages += other.pages
-        if self.tree is None:
-            self.tree = other.tree
-        elif self.tree != other.tree:
-            self.tree = merged(self.tree, other.tree)
-        for path, counts in other.paths.items():
-            self.paths[path] = [a + b for a, b in zip(self.paths.get(path, [0, 0, 0]), counts, strict=True)]
+        self.tree = other.tree if self.tree is None else merged(self.tree, other.tree)
 
     @classmethod
     def of(cls, page: Page) -> Wrapper:
-        paths: dict[str, list[int]] = {}
-        for path, text, linked in page.blocks:
-            counts = paths.setdefault(path, [0, 0, 1])
-            counts[0] += len(text)
-            counts[1] += linked
-        return cls(1, of_page(page.tree), paths)
+        return cls(1, of_page(page.tree))
 
     def dumps(self) -> str:
-        return json.dumps([self.pages, self.tree, self.paths], ensure_ascii=False)
+        return json.dumps([self.pages, self.tree], ensure_ascii=False)
 
     @classmethod
     def loads(cls, text: str) -> Wrapper:
         return cls(*json.loads(text))
 
-    def constants(self) -> tuple[set[str], bool]:
-        """Paths whose only texts never change, and whether any text varies."""
-        fixed, varied = set(), set()
+    def main_paths(self) -> list:
+        """The wrapper with ["#", quantifier, content or null, rank, the template's texts] for texts.
 
-        def walk(node, path):
+        Ranks are 4 article, 3 main, 2 named so, 1 any other slot, 0 what is left out.
+        """
+        ranks: dict[int, int] = {}
+        slots: list[tuple[list, str]] = []
+
+        def walk(node: list, rank: int, holder: str) -> None:
             for child in node[2]:
                 if child[0] == "#":
-                    (varied if child[2] is None else fixed).add(path)
+                    slots.append((child, holder))
+                    ranks[id(child)] = rank
+                elif child[0] == "()":
+                    walk(child, rank, holder)
+                else:
+                    walk(child, standing(rank, child[0]), re.split("[.@!]", child[0])[0])
+
+        walk(self.tree, 1, "")
+        varies = any(slot[2] is None for slot, _ in slots)
+        most = max((slot[3][2] for slot, _ in slots if ranks[id(slot)] > 1), default=0)
+        decided = {}
+        for slot, holder in slots:
+            rank, (chars, linked, pages) = ranks[id(slot)], slot[3]
+            template = varies and pages >= TEMPLATE_PAGES and (rank == 1 or pages == most and holder not in HEADINGS)
+            if rank == 1 and linked * 2 > chars:
+                rank = 0
+            decided[id(slot)] = [rank, slot[4] if rank and template else []]
+
+        def rewritten(node: list) -> list:
+            if node[0] == "#":
+                return [*node[:3], *decided[id(node)]]
+            return [node[0], node[1], [rewritten(child) for child in node[2]]]
+
+        return _slim(rewritten(self.tree))
+
+
+def _slim(node: list) -> list:
+    """Without members of elements that hold no main text and that their signature alone tells from their siblings."""
+    if node[0] == "#":
+        return node
+    times = Counter(child[0] for child in _flat(node[2]))
+
+    def cut(child: list) -> list:
+        if child[0] == "()":
+            return ["()", child[1], [cut(x) for x in child[2]]]
+        child = _slim(child)
+        return child if child[0] == "#" or times[child[0]] > 1 or _holds(child) else [*child[:2], []]
+
+    return [node[0], node[1], [cut(child) for child in node[2]]]
+
+
+def _holds(node: list) -> bool:
+    return node[3] > 0 if node[0] == "#" else any(_holds(child) for child in node[2])
+
+
+def standing(rank: int, signature: str) -> int:
+    """The rank below an element: 0 for what is not main text, 4 article, 3 main, 2 named like one, else as above it."""
+    if not rank:
+        return 0
+    named, _, role = signature.rstrip("!").partition("@")
+    tag, *classes = named.split(".")
+    words = {w.lower() for name in classes for w in _WORD.findall(name)}
+    if signature.endswith("!") or tag in DROPPED_TAGS or role in DROPPED_ROLES:
+        return 0
+    if tag not in ("html", "body", "main") and words & DROPPED_WORDS:
+        return 0
+    if rank == 1 and (tag == "header" or tag not in ("html", "body", "main", "article") and words & HEAD_WORDS and not words & MAIN_WORDS):
+        return 0
+    if tag == "article" or role == "article":
+        return 4
+    if tag == "main" or role == "main":
+        return max(rank, 3)
+    return max(rank, 2) if words & MAIN_WORDS and tag not in ("html", "body") else rank
+
+
+class Expression:
+    """The sequence of a wrapper's element, to give each child of a page's element its position."""
+
+    REFUSED = 1e6
+
+    def __init__(self, nodes: list):
+        # Positions: the node, and (sequence, place in it) from the outermost sequence to the group that holds it.
+        self.nodes: list[list] = []
+        self.paths: list[tuple[tuple[int, int], ...]] = []
+        # Per sequence how many members before each place must occur, and whether it is a group that repeats.
+        self.needed: list[list[int]] = []
+        self.loops: list[bool] = []
+        self._number(nodes, (), False)
+        self.at: dict[str, list[int]] = {}
+        for k, node in enumerate(self.nodes):
+            self.at.setdefault(node[0], []).append(k)
+        self.plain = len(self.at) == len(self.nodes)
+        self.inner = [None if node[0] == "#" else Expression(node[2]) for node in self.nodes]
+        self.musts = {node[0] for node in self.nodes if node[1] in ("", "+")} if all(len(p) == 1 for p in self.paths) else set()
+        self.steps: dict[tuple[int, int], bool] = {}
+
+    def _number(self, nodes: list, path: tuple, loops: bool) -> bool:
+        """Whether the sequence can be empty."""
+        own = len(self.needed)
+        self.needed.append([0])
+        self.loops.append(loops)
+        for k, node in enumerate(nodes):
+            here, may_lack = (*path, (own, k)), node[1] in ("?", "*")
+            if node[0] == "()":
+                may_lack |= self._number(node[2], here, node[1] in ("+", "*"))
+            else:
+                self.nodes.append(node)
+                self.paths.append(here)
+            self.needed[own].append(self.needed[own][-1] + (not may_lack))
+        return not self.needed[own][-1]
+
+    def _open(self, path: tuple) -> bool:
+        """Whether a match can begin with the end of the path."""
+        return all(self.needed[s][k] == 0 for s, k in path)
+
+    def _shut(self, path: tuple) -> bool:
+        """Whether a match can stop with the end of the path."""
+        return all(self.needed[s][-1] == self.needed[s][k + 1] for s, k in path)
+
+    def _follows(self, p: int, q: int) -> bool:
+        known = self.steps.get((p, q))
+        if known is None:
+            known = self.steps[p, q] = self._can_follow(p, q)
+        return known
+
+    def _can_follow(self, p: int, q: int) -> bool:
+        one, two = self.paths[p], self.paths[q]
+        same = next((d for d, (a, b) in enumerate(zip(one, two, strict=False)) if a != b), len(one))
+        if p == q and self.nodes[p][1] in ("+", "*"):
+            return True
+        if p != q:
+            (s, i), (_, j) = one[same], two[same]
+            between = self.needed[s][j] - self.needed[s][i + 1] if i < j else 1
+            if not between and self._shut(one[same + 1 :]) and self._open(two[same + 1 :]):
+                return True
+        return any(self.loops[one[d][0]] and self._shut(one[d:]) and self._open(two[d:]) for d in range(1, min(same, len(one) - 1) + 1))
+
+    def _fit(self, k: int, child: list) -> float:
+        node = self.nodes[k]
+        if node[0] == "#":
+            return 0 if node[2] is None else 1 if node[2] == child[1] else -100
+        has = {x[0] for x in child[1]}
+        return -100 * len(has - self.inner[k].at.keys()) - 10 * len(self.inner[k].musts - has)
+
+    def positions(self, children: list) -> list[int | None]:
+        if self.plain:
+            return [self.at.get(child[0], [None])[0] for child in children]
+        # The best way up to each position that the last child can have.
+        ways: dict[int, float] = {}
+        back: list[dict[int, int | None]] = []
+        for child in children:
+            known = self.at.get(child[0])
+            if not known:
+                back.append({})
+                continue
+            now, came = {}, {}
+            for q in known:
+                if ways:
+                    score, came[q] = max((w - self.REFUSED * (not self._follows(p, q)), -p) for p, w in ways.items())
+                    came[q] = -came[q]
                 else:
-                    walk(child, path if child[0] == "()" else f"{path}/{child[0]}")
-
-        walk(self.tree, "")
-        return fixed - varied, bool(varied)
-
-    def main_paths(self) -> dict[str, int]:
-        """How well a path fits the main text: 4 article, 3 main, 2 named so, 1 any other slot; the rest is left out."""
-        fixed, varies = self.constants()
-        out = {}
-        for path, (chars, linked, pages) in self.paths.items():
-            rank = standing(path)
-            template = path in fixed and varies and pages >= TEMPLATE_PAGES
-            if rank > 1 or rank == 1 and not template and linked * 2 <= chars:
-                out[path] = rank
-        return out
-
-
-def standing(path: str) -> int:
-    """0 for a path below something that is not main text, else 4 article, 3 main, 2 named like one, 1 other."""
-    rank = 1
-    for signature in path.split("/")[1:]:
-        named, _, role = signature.rstrip("!").partition("@")
-        tag, *classes = named.split(".")
-        words = {w.lower() for name in classes for w in _WORD.findall(name)}
-        if signature.endswith("!") or tag in DROPPED_TAGS or role in DROPPED_ROLES:
-            return 0
-        if tag not in ("html", "body", "main") and words & DROPPED_WORDS:
-            return 0
-        if rank == 1 and (tag == "header" or tag not in ("html", "body", "main", "article") and words & HEAD_WORDS and not words & MAIN_WORDS):
-            return 0
-        if tag == "article" or role == "article":
-            rank = 4
-        elif tag == "main" or role == "main":
-            rank = max(rank, 3)
-        elif words & MAIN_WORDS and tag not in ("html", "body"):
-            rank = max(rank, 2)
-    return rank
-
-
-def main_text(page: Page, paths: dict[str, int]) -> str:
-    best = max((paths.get(path, 0) for path, _, _ in page.blocks), default=0)
-    return " ".join(text for path, text, _ in page.blocks if best and paths.get(path) == best)
+                    score, came[q] = -self.REFUSED * (not self._open(self.paths[q])), None
+                now[q] = score + self._fit(q, child)
+            ways = now
+            back.append(came)
+        out: list[int | None] = []
+        last = max(((w - self.REFUSED * (not self._shut(self.paths[p])), -p) for p, w in ways.items()), default=None)
+        at = None if last is None else -last[1]
+        for came in reversed(back):
+            out.append(at if came else None)
+            at = came[at] if came else at
+        return out[::-1]
+
+    def slots(self, children: list) -> Iterator[tuple[int, str]]:
+        """Rank and text of what the page's children say, less the template's texts."""
+        for child, k in zip(children, self.positions(children), strict=True):
+            if k is None:
+                continue
+            if child[0] != "#":
+                yield from self.inner[k].slots(child[1])
+            elif child[1] not in self.nodes[k][4]:
+                yield self.nodes[k][3], child[2]
+
+
+def main_text(page: Page, decided: list | Expression) -> str:
+    known = decided if isinstance(decided, Expression) else Expression(decided[2])
+    found = list(known.slots(page.tree[1]))
+    best = max((rank for rank, _ in found), default=0)
+    return " ".join(text for rank, text in found if best and rank == best)
 
 
 HOSTS = "host string, part int, wrapper string"
@@ -446,14 +590,14 @@ def extract(pages: DataFrame) -> DataFrame:
     slim = pages.select("page_id", "url", "html", host().alias("host"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loaded: dict[str, dict] = {}
+        loaded: dict[str, Expression] = {}
         for batch in batches:
             texts = []
             for source, paths in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist(), strict=True):
                 if paths not in loaded:
                     if len(loaded) > HELD_HOSTS:
                         loaded.clear()
-                    loaded[paths] = json.loads(paths)
+                    loaded[paths] = Expression(json.loads(paths)[2])
                 texts.append(main_text(Page(source), loaded[paths]))
             sizes = pa.array([len(t) for t in texts], pa.int64())
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), sizes]

@@ -125,3 +125,27 @@ def test_order_of_pages_does_not_change_what_is_extracted():
             wrapper.add(m.Wrapper.loads(m.Wrapper.of(m.Page(source)).dumps()))
         ways.append([m.main_text(m.Page(s), wrapper.main_paths()) for s in sources])
     assert ways[0] == ways[1] == ways[2] == ["a b", "b c", "d"]
+
+
+def test_slots_decide_what_is_main_text(spark):
+    """Alike blocks of an article are told apart by their slots: the same texts on all pages belong to the template."""
+
+    def page(i):
+        more = f"<section><p>aside {i}</p></section>" if i % 2 else ""
+        return (
+            f"<body><article><h1>Title {i}</h1><p>Share this page</p><h2>Summary</h2>{more}<p>All about {i}</p>"
+            f"<p>Read on</p><p>First {i}</p><p>Second {i}</p><div>Our terms apply</div></article></body>"
+        )
+
+    wanted = lambda i: f"Title {i} Summary {f'aside {i} ' * (i % 2)}All about {i} First {i} Second {i}"
+    pages = [(i, "http://e.example/x", page(i)) for i in range(8)]
+    assert extracted(spark, pages) == {(i, wanted(i)) for i in range(8)}
+
+
+def test_pages_are_aligned_with_the_expression():
+    p, q, group = ["p", "?", []], ["q", "", []], ["()", "+", [["a", "", []], ["p", "*", []]]]
+    placed = lambda nodes, tags: m.Expression(nodes).positions([[t, []] for t in tags])
+    assert placed([p, q, p], "q p".split()) == [1, 2]
+    assert placed([p, q, p], "p q".split()) == [0, 1]
+    assert placed([p, group, q, p], "a p a p p q p".split()) == [1, 2, 1, 2, 2, 3, 4]
+    assert placed([["p", "?", []], ["p", "", []]], ["p"]) == [1]
