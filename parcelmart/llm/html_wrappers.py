@@ -16,7 +16,9 @@ on five or more pages while others vary belong to the template; where tags
 speak for main text this holds for slots no page is without, and not for headings.
 Alike siblings in a row share one slot, so a text is common there if every page's run has it. A slot of
 links is no main text unless tags speak for it. Tags and names are evidence on slots: those below menus,
-headers, footers, sidebars, notices, adverts, forms or comments are dropped; of the
+headers, footers, sidebars, notices, adverts, forms or comments are dropped. A class word alone drops
+no element that holds most of the host's varying text and the best tags, unless it
+names comments; words after `has`, `with` and the like say what else is on the page and drop nothing. Of the
 others those below an article come first, then those below a main
 element, then those below an element named like one, then any other.
 
@@ -91,6 +93,10 @@ DROPPED_WORDS = set(
     " replies respond discussion share sharing social related recommended recommendations widget widgets toolbar pager pagination search skip"
     " copyright legal disclaimer teaser teasers".split()
 )
+# Words that drop an element whatever it holds.
+COMMENT_WORDS = set("comment comments disqus reply replies respond discussion".split())
+# The next word names what an element has or lacks, not what it is.
+LAYOUT_WORDS = {"has", "have", "with", "without", "no", "not", "hide", "hides", "show", "shows"}
 # Words that drop an element outside of the main text only.
 HEAD_WORDS = {"header", "head", "top"}
 MAIN_WORDS = {"article", "content", "main", "post", "entry", "story"}
@@ -348,19 +354,27 @@ class Wrapper:
         """
         ranks: dict[int, int] = {}
         slots: list[tuple[list, str]] = []
+        # Per slot the elements around it that a word would drop, from the outermost on.
+        doubted: dict[int, tuple[int, ...]] = {}
+        elements: dict[int, str] = {}
 
-        def walk(node: list, rank: int, holder: str) -> None:
+        def walk(node: list, rank: int, holder: str, around: tuple[int, ...]) -> None:
             for child in node[2]:
                 if child[0] == "#":
                     slots.append((child, holder))
-                    ranks[id(child)] = rank
+                    ranks[id(child)], doubted[id(child)] = rank, around
                 elif child[0] == "()":
-                    walk(child, rank, holder)
+                    walk(child, rank, holder, around)
                 else:
-                    walk(child, standing(rank, child[0]), re.split("[.@!]", child[0])[0])
+                    within = (*around, id(child)) if dropping_words(child[0]) else around
+                    if within != around:
+                        elements[id(child)] = child[0]
+                    walk(child, standing(rank, child[0]), re.split("[.@!]", child[0])[0], within)
 
-        walk(self.tree, 1, "")
+        walk(self.tree, 1, "", ())
         varies = any(slot[2] is None for slot, _ in slots)
+        for slot in self._dropped([slot for slot, _ in slots], ranks, doubted, elements, varies):
+            ranks[slot] = 0
         most = max((slot[3][2] for slot, _ in slots if ranks[id(slot)] > 1), default=0)
         decided = {}
         for slot, holder in slots:
@@ -377,6 +391,29 @@ class Wrapper:
 
         return _slim(rewritten(self.tree))
 
+    @staticmethod
+    def _dropped(slots: list, ranks: dict, doubted: dict, elements: dict, varies: bool) -> list[int]:
+        """The slots inside elements that a class word drops."""
+        text = {id(s): (s[3][0] - s[3][1]) * (s[2] is None or not varies) for s in slots if ranks[id(s)]}
+        inside: dict[int, int] = dict.fromkeys(elements, 0)
+        for slot, chars in text.items():
+            for element in doubted[slot]:
+                inside[element] += chars
+        # Elements from the outermost on, so at most a chain of them holds most of the text.
+        whole = sum(text.values())
+        large = [e for e, chars in inside.items() if chars * 2 > whole and not dropping_words(elements[e]) & COMMENT_WORDS]
+        kept: set[int] = set()
+        for element in large:
+            best, others = 0, 0
+            for slot, chars in text.items():
+                if chars and element in doubted[slot] and not set(doubted[slot]) - set(large):
+                    best = max(best, ranks[slot])
+                elif chars and element not in doubted[slot] and not set(doubted[slot]) - kept:
+                    others = max(others, ranks[slot])
+            if best > others or best == others == 1:
+                kept.add(element)
+        return [id(slot) for slot in slots if set(doubted[id(slot)]) - kept]
+
 
 def _slim(node: list) -> list:
     """Without members of elements that hold no main text and that their signature alone tells from their siblings."""
@@ -406,8 +443,6 @@ def standing(rank: int, signature: str) -> int:
     words = {w.lower() for name in classes for w in _WORD.findall(name)}
     if signature.endswith("!") or tag in DROPPED_TAGS or role in DROPPED_ROLES:
         return 0
-    if tag not in ("html", "body", "main") and words & DROPPED_WORDS:
-        return 0
     if rank == 1 and (tag == "header" or tag not in ("html", "body", "main", "article") and words & HEAD_WORDS and not words & MAIN_WORDS):
         return 0
     if tag == "article" or role == "article":
@@ -417,6 +452,18 @@ def standing(rank: int, signature: str) -> int:
     return max(rank, 2) if words & MAIN_WORDS and tag not in ("html", "body") else rank
 
 
+def dropping_words(signature: str) -> set[str]:
+    """Words of an element's class and id that speak against main text."""
+    tag, *classes = signature.rstrip("!").partition("@")[0].split(".")
+    if tag in ("html", "body", "main"):
+        return set()
+    out = set()
+    for name in classes:
+        words = [w.lower() for w in _WORD.findall(name)]
+        out |= {w for before, w in zip(["", *words], words, strict=False) if w in DROPPED_WORDS and before not in LAYOUT_WORDS}
+    return out
+
+
 class Expression:
     """The sequence of a wrapper's element, to give each child of a page's element its position."""
 

@@ -149,3 +149,23 @@ def test_pages_are_aligned_with_the_expression():
     assert placed([p, q, p], "p q".split()) == [0, 1]
     assert placed([p, group, q, p], "a p a p p q p".split()) == [1, 2, 1, 2, 2, 3, 4]
     assert placed([["p", "?", []], ["p", "", []]], ["p"]) == [1]
+
+
+def test_a_class_word_alone_drops_no_main_text(spark):
+    """Layout classes name what else is on the page; the varying bulk with the article stays, comments do not."""
+    side, wide = "<div class='sidebar'><p>Top {0}</p></div>", "Long words of page {0} go on and on"
+    sites = {
+        "f": (f"<body>{side}<div class='content-with-sidebar'><article><p>{wide}</p></article></div></body>", wide),
+        "g": (f"<body>{side}<article class='post has-sidebar'><p>{wide}</p></article><div>Else {{0}}</div></body>", wide),
+        "h": (f"<body>{side}<div class='page sidebar-layout'><main><p>{wide}</p></main><div class='share'>Share {{0}}</div></div><p>end {{0}}</p></body>", wide),
+        "i": (f"<body><article class='social'><p>{wide}</p></article><div class='related widget'><article>More {{0}}</article></div></body>", wide),
+        "j": (f"<body><article><p>Short {{0}}</p><div class='comments'><article>{wide * 3}</article></div></article></body>", "Short {0}"),
+        "k": (f"<body><article><p>Short {{0}}</p><div class='widget'><p>{wide * 3}</p></div></article></body>", "Short {0}"),
+        "l": (f"<body><main><p>Short {{0}}</p></main><section class='comments'><article class='post'>{wide}</article></section></body>", "Short {0}"),
+    }
+    pages, wanted = [], set()
+    for k, (name, (html, text)) in enumerate(sites.items()):
+        for i in range(6):
+            pages.append((10 * k + i, f"http://{name}.example/x", html.format(i)))
+            wanted.add((10 * k + i, text.format(i)))
+    assert extracted(spark, pages) == wanted
