@@ -8,7 +8,8 @@ optional, siblings or groups of siblings that follow each other become a
 repeated group, and texts that differ become a slot. Wrappers of parts of
 a host are aligned the same way, so a host is inferred where its pages lie, then
 part by part; only wrappers travel, whose sequences hold at most MAX_SIBLINGS
-siblings, whose depth is at most MAX_DEPTH and whose texts are short or a digest.
+siblings and whose texts are short or a digest. A page's elements are read to any depth; below MAX_DEPTH
+the wrapper keeps of each only whether it is dropped, main text or neither.
 
 Every slot counts its characters, those inside links, its pages, and the texts all of
 these have in common. Slots are then told apart once per host. Texts in common
@@ -39,6 +40,7 @@ import hashlib
 import html as entities
 import json
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -50,7 +52,7 @@ from parcelmart.llm.common import parallelism, stage
 
 # Siblings a wrapper lists in order; longer sequences become one repeated group of optional members.
 MAX_SIBLINGS = 24
-# Elements nested deeper are read as part of the innermost one above.
+# Elements nested deeper are stored below the innermost one above, side by side and by what they are evidence of.
 MAX_DEPTH = 100
 # Longer constant texts are kept as a digest.
 TEXT_KEPT = 60
@@ -131,15 +133,39 @@ def _signature(tag: str, attrs: str) -> str:
     return tag + "".join(f".{w}" for w in sorted(set(clean))) + (f"@{role}" if role else "") + "!" * unseen
 
 
+class Deeper:
+    """What the elements below MAX_DEPTH down to one are evidence of."""
+
+    def __init__(self, above: Deeper | None, tag: str, signature: str):
+        inside, outside = standing(2, signature), standing(1, signature)
+        kind, words = (above.kind, above.words) if above else (0, frozenset())
+        self.dropped = not inside or bool(above and above.dropped)
+        # Dropped unless an element above MAX_DEPTH is main text.
+        self.head = bool(above and above.head) or not (outside or kind)
+        self.kind = max(kind, inside if inside > 2 else 2 if outside == 2 else 0)
+        self.words = words | dropping_words(signature)
+        self.tag = "div" if tag in ("article", "main", "header", "html", "body") else tag
+
+    def signature(self) -> str:
+        """One element that is evidence of the same."""
+        if self.dropped:
+            return "nav"
+        classes = sorted(self.words | ({"content"} if self.kind == 2 else set()))
+        role = {3: "@main", 4: "@article"}.get(self.kind, "")
+        return ("header" if self.head else self.tag) + "".join(f".{w}" for w in classes) + role
+
+
 class Page:
     """The tree of blocks: [signature, children], texts as ["#", text or digest, text, characters inside links]."""
 
     def __init__(self, source: str | None):
         self.tree: list = ["", []]
-        # Open elements: name, node.
-        self.open: list[tuple[str, list]] = [("", self.tree)]
+        # Open elements: name, node and, below MAX_DEPTH, their evidence.
+        self.open: list[tuple[str, list, Deeper | None]] = [("", self.tree, None)]
+        # Places of the open elements by name.
+        self.places: dict[str, list[int]] = {}
         self.text: list[str] = []
-        self.links, self.linked, self.deeper = 0, 0, 0
+        self.links, self.linked = 0, 0
         self._read(source or "")
 
     def _read(self, source: str) -> None:
@@ -169,13 +195,27 @@ class Page:
         text = " ".join("".join(self.text).split())
         if text:
             kept = text if len(text) <= TEXT_KEPT else hashlib.sha1(text.encode("utf-8", "surrogatepass")).hexdigest()
-            self.open[-1][1][1].append(["#", kept, text, self.linked])
+            _, node, deeper = self.open[-1]
+            if deeper:
+                shared = self.open[MAX_DEPTH - 1][1][1]
+                if not shared or shared[-1] is not node:
+                    # Text after an inner element begins a new node, so texts keep their order.
+                    node = [deeper.signature(), []]
+                    shared.append(node)
+                    self.open[-1] = (self.open[-1][0], node, deeper)
+            node[1].append(["#", kept, text, self.linked])
         self.text, self.linked = [], 0
 
     def _pop(self, upto: int) -> None:
         self._flush()
+        for name, _, _ in reversed(self.open[upto:]):
+            self.places[name].pop()
         del self.open[upto:]
 
+    def _last(self, names) -> int:
+        """The place of the innermost open element with one of the names, or 0."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
     def _start(self, tag: str, attrs: str) -> None:
         if tag in BREAKS:
             self.text.append(" ")
@@ -184,36 +224,33 @@ class Page:
             self.links = 1
         if tag not in BLOCKS:
             return
-        names = [name for name, _ in self.open]
-        if tag in ("html", "body") and tag in names:
+        if tag in ("html", "body") and self._last((tag,)):
             return
         if tag in CLOSED_BY:
             closing, until = CLOSED_BY[tag]
-            floor = max((i for i, n in enumerate(names) if n in until), default=0)
-            same = [i for i, n in enumerate(names) if i > floor and n in closing]
+            floor = self._last(until)
+            lists = [self.places.get(n, []) for n in closing]
+            same = [at[k] for at in lists if (k := bisect_right(at, floor)) < len(at)]
             if same:
-                self._pop(same[0])
+                self._pop(min(same))
         elif tag not in KEEPS_P:
-            open_p = max((i for i, n in enumerate(names) if n == "p"), default=0)
-            inside = max((i for i, n in enumerate(names) if n in ("button", "td", "th", "caption", "table")), default=0)
-            if open_p > inside:
+            open_p = self._last(("p",))
+            if open_p > self._last(("button", "td", "th", "caption", "table")):
                 self._pop(open_p)
         self._flush()
-        if len(self.open) >= MAX_DEPTH:
-            self.deeper += 1
-            return
-        node: list = [_signature(tag, attrs), []]
-        self.open[-1][1][1].append(node)
-        self.open.append((tag, node))
+        signature = _signature(tag, attrs)
+        node: list = [signature, []]
+        deeper = Deeper(self.open[-1][2], tag, signature) if len(self.open) >= MAX_DEPTH else None
+        if not deeper:
+            self.open[-1][1][1].append(node)
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, node, deeper))
 
     def _end(self, tag: str) -> None:
         if tag == "a":
             self.links = 0
-        elif tag in BLOCKS and self.deeper:
-            self._flush()
-            self.deeper -= 1
         elif tag in BLOCKS and tag not in ("html", "body"):
-            at = max((i for i, (name, _) in enumerate(self.open) if name == tag), default=0)
+            at = self._last((tag,))
             if at:
                 self._pop(at)
         elif tag == "br":

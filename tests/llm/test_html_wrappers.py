@@ -169,3 +169,20 @@ def test_a_class_word_alone_drops_no_main_text(spark):
             pages.append((10 * k + i, f"http://{name}.example/x", html.format(i)))
             wanted.add((10 * k + i, text.format(i)))
     assert extracted(spark, pages) == wanted
+
+
+def test_elements_of_any_depth_are_read_as_such(spark):
+    """Menus, comments and articles below MAX_DEPTH, and what follows many open blocks."""
+    deep, shut = "<div>" * 300, "</div>" * 300
+    parts = "<nav>menu</nav><header>Site</header><div class='ad'>Buy</div>{}<aside>More</aside><footer>end</footer>"
+    article = "<article><header>Title</header><h2>Head</h2>one<p>two<p>three<ul><li>four<li>five</ul>six<form>ask</form><div class='comments'><p>says</p></div></article>"
+    items = "<ul>" + "<li><p>x" * 3 + "</ul>"
+    pages = [
+        (1, "http://m.example", f"<body>{deep}{parts.format(article)}{shut}<p>after</p>"),
+        (2, "http://n.example", f"<body><article>{deep}<p>in</p><aside>notice</aside>{items}{shut}<p>on</p></article><footer>out</footer>"),
+        (3, "http://o.example", f"<body>{deep}<main><p>in main</p></main><p>beside</p>"),
+        (4, "http://p.example", f"<body>{deep}<div class='content'><p>named</p></div><p>beside</p>"),
+        (5, "http://q.example", "<div>" * 100_000 + "<article>far</article><nav>menu</nav>"),
+    ]
+    texts = {1: "Title Head one two three four five six", 2: "in x x x on", 3: "in main", 4: "named", 5: "far"}
+    assert extracted(spark, pages) == set(texts.items())
