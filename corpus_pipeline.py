@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelmart.llm import curriculum, decontaminate, gam_quality, huffman_ids, simhash_dedup
-from parcelmart.llm.common import packed, shared_path, stage, table
+from parcelmart.llm.common import packed, shared_path, stage, table, written_place
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,16 +29,16 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in training order, one row per copy the mix takes."""
+    """Documents in training order, one row per copy the mix takes; part files and their rows, once written, keep the order."""
     rows = docs.select(packed(docs, "document"), "doc_id", "source", "text")
     return curriculum.training_order(curriculum.mix(rows)).select("document.*")
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of all documents; per document its place and checksum, read back."""
+    """Token files of all documents in the order they were written in; per document its place and checksum, read back."""
     folder = shared_path(spark, "token-files")
     path = huffman_ids.tokenizer_path()
-    huffman_ids.write(docs, folder, path)
+    huffman_ids.write(docs, folder, path, order=written_place(docs))
     return huffman_ids.read(spark, folder)
 
 

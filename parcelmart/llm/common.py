@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,23 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def written_place(df: DataFrame) -> Column:
+    """What puts the rows of written Parquet into the order in which a job's tasks wrote them.
+
+    Readers deal files out by size, so this is number and piece of the part file (else its path) and
+    the row in it. Rows that are not read from Parquet count in the order of their partitions.
+    """
+    try:
+        meta = df.metadataColumn("_metadata")
+        df.select(meta["file_name"], meta["row_index"])
+    except AnalysisException:
+        return F.struct(F.monotonically_increasing_id().alias("row"))
+    number = lambda pattern: F.regexp_extract(meta["file_name"], pattern, 1).try_cast("long")
+    part = number(r"^part-(\d+)")
+    other = F.when(part.isNull(), meta["file_path"])
+    return F.struct(part.alias("part"), number(r"-c(\d+)\.").alias("piece"), other.alias("file"), meta["row_index"].alias("row"))
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """The input without columns whose names (in any case) an operator will add."""
     taken = {name.lower() for name in names}

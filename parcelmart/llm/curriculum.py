@@ -123,8 +123,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, tilts=TILTS, share=1.5, cap=2.0) -> Da
     )
 
 
-def training_order(mixed: DataFrame) -> DataFrame:
-    """One row per copy taken, range-sorted by its `mix_position`."""
-    copies = mixed.withColumn("mix_position", F.explode("positions")).drop("positions")
-    keys = ("mix_position", "source", "doc_id")
+def training_order(mixed: DataFrame, idle: bool = False) -> DataFrame:
+    """One row per copy taken, range-sorted by its `mix_position`; with `idle`, documents that are not taken come last."""
+    rows = F.explode_outer("positions") if idle else F.explode("positions")
+    copies = mixed.withColumn("mix_position", rows).drop("positions")
+    keys = (F.col("mix_position").asc_nulls_last(), "source", "doc_id")
     return copies.repartitionByRange(*keys).sortWithinPartitions(*keys)

@@ -8,8 +8,8 @@ code from the global counts and writes a folder of three Parquet tables:
     codebook  id, length; codes are canonical (by length, then id)
     shards    shard, start, n_tokens: ids of all shards before, ids of the shard
 
-Shards are ranges of doc_id and a shard is one file or more, so blocks by
-(shard, block) hold all ids in ascending doc_id order. `payload` is the bit
+Shards are ranges of doc_id (or of the order given) and a shard is one file or more, so blocks by
+(shard, block) hold all ids in ascending doc_id order (or that order). `payload` is the bit
 string of a block, `checkpoints` (little-endian unsigned 32-bit) the bit offset
 of every STEP-th id; a decoder steps from all checkpoints at once and looks
 `limit` bits up in one table. `doc_tokens` are the ids each document has in
@@ -31,7 +31,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -174,8 +174,10 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, ids) with ids as little-endian unsigned 16-bit integers, or 32-bit for larger vocabularies."""
+def encoded(docs: DataFrame, path: str, end_id: int = END_ID, order: Column | None = None) -> DataFrame:
+    """(doc_id, ids) with ids as little-endian unsigned 16-bit integers, or 32-bit for larger vocabularies; and `place`, the order if given."""
+    slim = docs.select(F.col("doc_id").cast("long"), "text", *([] if order is None else [order.alias("place")]))
+    places = [] if order is None else ["place"]
     end = np.array([end_id], id_type(path)).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,9 +186,10 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 ids = [x + end for x in encode(part.column("text").to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                columns = [part.column("doc_id"), pa.array(ids, pa.binary()), *(part.column(c) for c in places)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", *places])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
+    return slim.mapInArrow(run, "doc_id long, ids binary" + "".join(f", {c} {dict(slim.dtypes)[c]}" for c in places))
 
 
 def id_type(path: str) -> str:
@@ -309,11 +312,11 @@ BLOCKS = (
 )
 
 
-def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, limit: int = LIMIT) -> None:
-    """Encode every row of docs (doc_id, text) and write the tables to `folder`."""
+def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, limit: int = LIMIT, order: Column | None = None) -> None:
+    """Encode every row of docs (doc_id, text) and write the tables to `folder`, by `order` if given, else by doc_id."""
     spark, kind = docs.sparkSession, id_type(path)
     size = encoder(path).size
-    ids = stage(encoded(docs, path, end_id), "token-ids")
+    ids = stage(encoded(docs, path, end_id, order), "token-ids")
     weights = counts(ids, kind, size)
     # A vocabulary too large for the limit gets the bits it needs.
     lengths = code_lengths(weights, max(limit, int(np.count_nonzero(weights)).bit_length()))
@@ -361,7 +364,8 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, limit:
         if total:
             yield out([full(total)])
 
-    ordered = ids.repartitionByRange(parallelism(spark), "doc_id").sortWithinPartitions("doc_id", "ids")
+    first = "doc_id" if order is None else "place"
+    ordered = ids.repartitionByRange(parallelism(spark), first).sortWithinPartitions(first, "doc_id", "ids").select("doc_id", "ids")
     # Blocks are compressed already, and one row is large.
     blocks = ordered.mapInArrow(run, BLOCKS).write.option("compression", "none").option("parquet.page.size.row.check.min", "4")
     blocks.parquet(f"{folder}/blocks")

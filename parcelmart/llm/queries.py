@@ -53,10 +53,11 @@ def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words each document gives to the mix, and when its first copy comes."""
+    """Words each document gives to the mix, and when its first copy comes; rows in training order, what is not taken last."""
     mixed = curriculum.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    first = F.try_element_at("positions", F.lit(1))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", first.alias("first_position"))
+    ordered = curriculum.training_order(mixed.withColumn("first_position", F.try_element_at("positions", F.lit(1))), idle=True)
+    first = ordered.where(F.col("mix_position").eqNullSafe(F.col("first_position")))
+    return first.select("doc_id", "size", "source_size", "target", "taken", "copies", "first_position")
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,12 @@ def test_query_equals_its_sql(spark):
     assert spark_rows(queries.QUERIES[key](spark, str(sf_dir))) == oracle_rows(oracle_connection(sf_dir), oracle.ORACLE[key])
 
 
+def test_query_is_in_training_order(spark):
+    found = [r.first_position for r in queries.op10_mix_sources(spark, str(TESTDATA / "sf0.01")).collect()]
+    taken = [t for t in found if t is not None]
+    assert 0 < len(taken) < len(found) and found == sorted(taken) + [None] * (len(found) - len(taken))
+
+
 def slow_targets(sizes):
     """Share by weight, give back what is above twice the size, share that again."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))

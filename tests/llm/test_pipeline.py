@@ -10,7 +10,7 @@ from test_simhash_dedup import slow_components, slow_fingerprint
 
 from conftest import TESTDATA
 from parcelmart.llm import curriculum, gam_quality
-from parcelmart.llm.common import stage, table
+from parcelmart.llm.common import stage, table, written_place
 
 SF = str(TESTDATA / "sf0.01")
 
@@ -66,6 +66,19 @@ def test_output_stage(outputs):
     assert places[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(places, places[1:], strict=False))
 
 
+def test_token_files_follow_the_training_order(outputs):
+    placed = rows(curriculum.training_order(curriculum.mix(outputs[3])), "mix_position", "source", "doc_id")
+    assert [d for _, d in sorted(rows(outputs[5], "start", "doc_id"))] == [d for _, _, d in sorted(placed)]
+
+
+def test_the_written_order_is_found_again(spark):
+    """Also from files of different sizes, which readers open in another order."""
+    ids = spark.range(20_000).selectExpr("id", "repeat(uuid(), int(id % 7000 / 100)) text")
+    read = stage(ids.repartitionByRange(30, -ids.id).sortWithinPartitions(-ids.id), "test-order")
+    assert [r.id for r in read.orderBy(written_place(read)).collect()] == list(range(20_000))[::-1]
+    assert [r.id for r in read.collect()] != list(range(20_000))[::-1]
+
+
 def test_empty_documents(spark):
     docs = table(spark, SF, "documents").limit(0)
     for _, step in corpus_pipeline.STAGES:
