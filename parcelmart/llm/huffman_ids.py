@@ -28,9 +28,11 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -41,17 +43,17 @@ END_ID = 2
 BLOCK = 1 << 18
 STEP = 128
 LIMIT = 17
-# Pieces kept by a worker, and their longest length in characters.
-CACHE_PIECES, CACHE_CHARS = 1_000_000, 48
-BATCH_CHARS = 1 << 21
+# Pieces a worker keeps, at most, and those it encodes as one text.
+CACHE_PIECES = 1_000_000
+JOINED = 4096
+BATCH_BYTES = 1 << 23
 # Unicode's White_Space characters.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # The tokenizer never joins what stands before white space to what follows, so
 # a text is the concatenation of these pieces' ids.
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-# White space before a space, and the separator used below.
-_ODD = re.compile(f"[{WHITE}] |\0")
-MARKS = ".,;:!?)]}'\"*#%&$"
+# White space before a space, and the separator used below (a pattern of Arrow's).
+_ODD = f"[{WHITE}] |\\x00"
 PRINTS = "<u4"
 
 
@@ -62,11 +64,11 @@ def tokenizer_path() -> str:
 
 
 class Encoder:
-    """Ids of texts as little-endian bytes of `kind`; pieces seen before are looked up.
+    """Ids of texts; pieces seen before are looked up.
 
-    An unknown piece is cut further where the tokenizer always cuts (before
-    white space, and between a letter and the marks that end the piece); what
-    is still unknown is encoded in one long text and told apart by the ids' lengths.
+    Texts are cut and their pieces numbered as Arrow arrays, so each distinct
+    piece of a batch is looked up once and numpy lays out the ids. Unknown pieces
+    that begin with a space are encoded as one long text and told apart by the ids' lengths.
     """
 
     def __init__(self, path: str):
@@ -80,93 +82,98 @@ class Encoder:
         self.bytes = np.zeros(self.size, np.int64)
         for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.bytes[number] = len(token)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Pieces that cannot follow others in one text (a pattern of Arrow's).
+        self.apart = "|".join(["^[^ ]", f"[{WHITE}]$", *map(re.escape, special)])
+        self._forget()
+
+    def _forget(self) -> None:
+        # Pieces by number; their ids stand in `pool`, from `starts` on.
+        self.known: dict[str, int] = {"": 0}
+        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.pool, self.used = np.zeros(1 << 18, self.kind), 0
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        held, chars = [], 0
-        for text in texts:
-            held.append(_pieces(text or ""))
-            chars += len(text or "")
-            if chars >= BATCH_CHARS:
-                yield from self._join(held)
-                held, chars = [], 0
-        yield from self._join(held)
-
-    def _join(self, texts: list[list[str]]) -> Iterator[bytes]:
-        known = self.known
-        if len(known) > CACHE_PIECES:
-            known.clear()
-        long = self._learn([p for p in set().union(*texts) if p not in known])
-        ids = known.__getitem__
-        for pieces in texts:
-            yield b"".join(map(ids, pieces))
-        for piece in long:
-            del known[piece]
-
-    def _learn(self, new: list[str]) -> set[str]:
-        """Make new pieces known; returns those too long to be kept."""
-        known = self.known
-        words, marked, others = set(), [], []
-        for piece in new:
-            if piece[1:].isalpha():
-                words.add(piece)
-                continue
-            word = piece.rstrip(MARKS)
-            # Only letters about which all Unicode versions agree.
-            if word[1:].isalpha() and word[-1] < "\u0250":
-                marked.append((piece, word, piece[len(word) :]))
-                if word not in known:
-                    words.add(word)
-            else:
-                others.append((piece, _atoms(piece)))
-        atoms = {part for _, parts in others for part in parts} | {marks for _, _, marks in marked}
-        words.update(a for a in atoms if a not in known)
-        self._encode(list(words))
-        for piece, word, marks in marked:
-            known[piece] = known[word] + known[marks]
-        for piece, parts in others:
-            known[piece] = b"".join([known[part] for part in parts])
-        return {p for p in words.union(new) if len(p) > CACHE_CHARS}
-
-    def _encode(self, atoms: list[str]) -> None:
-        # A word after one space can follow any other in one text.
-        plain = [a for a in atoms if a[0] == " " and not a[-1].isspace() and not any(s in a for s in self.special)]
-        known = self.known
-        for at in range(0, len(plain), 512):
-            part = plain[at : at + 512]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.kind)
-            ends = np.cumsum([len(a.encode("utf-8", "surrogatepass")) for a in part])
-            reached = np.cumsum(self.bytes[ids])
+        for ids, sizes in self.batches(pa.array(texts, pa.string())):
+            for part in np.split(ids, np.cumsum(sizes)[:-1]):
+                yield part.tobytes()
+
+    def batches(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All ids of some following texts, and how many each text has."""
+        texts = texts.fill_null("")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            begun = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, begun + BATCH_BYTES, "right")))
+            yield self._encoded(texts.slice(at, to - at))
+            at = to
+
+    def _encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        pieces = _pieces(texts)
+        bounds = pieces.offsets.to_numpy()
+        numbered = pieces.flatten().dictionary_encode()
+        number = self._numbers(numbered.dictionary)[numbered.indices.to_numpy()]
+        lengths = self.sizes[number]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        ids = self.pool[np.arange(ends[-1]) + np.repeat(self.starts[number] - ends[:-1], lengths)]
+        return ids, np.diff(ends[bounds - bounds[0]])
+
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
+        """Numbers of distinct pieces; unknown ones become known."""
+        if len(self.known) > CACHE_PIECES:
+            self._forget()
+        names = pieces.to_pylist()
+        numbers = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        new = numbers < 0
+        if new.any():
+            numbers[new] = np.arange(len(self.known), len(self.known) + int(new.sum()))
+            self._learn(pieces.filter(pa.array(new)))
+            self.known.update(zip(compress(names, new), numbers[new].tolist(), strict=True))
+        return numbers
+
+    def _learn(self, new: pa.Array) -> None:
+        """Append the ids of new pieces, which take the next numbers."""
+        alone = pc.match_substring_regex(new, self.apart).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(new).to_numpy()
+        names = new.to_pylist()
+        order = np.concatenate((np.flatnonzero(alone), np.flatnonzero(~alone)))
+        encode = self.tokenizer.encode_batch_fast
+        parts = [np.array(e.ids, self.kind) for e in encode(list(compress(names, alone)), add_special_tokens=False)]
+        sizes = [np.fromiter(map(len, parts), np.int64, len(parts))]
+        following, lengths = list(compress(names, ~alone)), lengths[~alone]
+        for at in range(0, len(following), JOINED):
+            ids = np.array(encode(["".join(following[at : at + JOINED])], add_special_tokens=False)[0].ids, self.kind)
+            ends, reached = np.cumsum(lengths[at : at + JOINED]), np.cumsum(self.bytes[ids])
             cuts = np.searchsorted(reached, ends)
-            if not (reached[np.minimum(cuts, len(reached) - 1)] == ends).all():
+            if not np.array_equal(reached[np.minimum(cuts, len(reached) - 1)], ends):
                 raise ValueError("the tokenizer joined words across white space")
-            raw, width, begin = ids.tobytes(), ids.itemsize, 0
-            for atom, end in zip(part, ((cuts + 1) * width).tolist(), strict=True):
-                known[atom] = raw[begin:end]
-                begin = end
-        rest = [a for a in atoms if a not in known]
-        if rest:
-            encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-            known.update((a, np.array(e.ids, self.kind).tobytes()) for a, e in zip(rest, encoded, strict=True))
-
-
-def _pieces(text: str) -> list[str]:
-    """The text cut before spaces that follow no other white space."""
-    if _ODD.search(text):
-        return PIECE.findall(text)
-    return text.replace(" ", "\0 ").split("\0") if text else []
-
-
-def _atoms(piece: str) -> list[str]:
-    out = []
-    for part in PIECE.findall(piece):
-        word = part.rstrip(MARKS)
-        if len(word) < len(part) and word and word[-1].isalpha() and word[-1] < "\u0250":
-            out += [word, part[len(word) :]]
-        else:
-            out.append(part)
-    return out
+            parts.append(ids)
+            sizes.append(np.diff(cuts, prepend=-1))
+        self._append(order + len(self.known), np.concatenate(parts), np.concatenate(sizes))
+
+    def _append(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        count, used = int(numbers.max()) + 1, self.used + len(ids)
+        if count > len(self.starts):
+            self.starts, self.sizes = (np.resize(x, 2 * count) for x in (self.starts, self.sizes))
+        if used > len(self.pool):
+            self.pool = np.resize(self.pool, 2 * used)
+        self.pool[self.used : used] = ids
+        self.sizes[numbers] = sizes
+        self.starts[numbers] = self.used + np.cumsum(sizes) - sizes
+        self.used = used
+
+
+def _pieces(texts: pa.Array) -> pa.ListArray:
+    """Texts cut before spaces that follow no other white space."""
+    plain = pc.split_pattern(pc.replace_substring(texts, " ", "\0 "), "\0")
+    odd = pc.match_substring_regex(texts, _ODD)
+    if not pc.any(odd).as_py():
+        return plain
+    cut = pa.array([PIECE.findall(t) for t in texts.filter(odd).to_pylist()], plain.type)
+    flags = odd.to_numpy(zero_copy_only=False)
+    order = np.where(flags, len(plain) + np.cumsum(flags) - 1, np.arange(len(plain)))
+    return pa.concat_arrays([plain, cut]).take(pa.array(order))
 
 
 @cache
@@ -178,20 +185,33 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID, order: Column | No
     """(doc_id, ids) with ids as little-endian unsigned 16-bit integers, or 32-bit for larger vocabularies; and `place`, the order if given."""
     slim = docs.select(F.col("doc_id").cast("long"), "text", *([] if order is None else [order.alias("place")]))
     places = [] if order is None else ["place"]
-    end = np.array([end_id], id_type(path)).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = [x + end for x in encode(part.column("text").to_pylist())]
-                columns = [part.column("doc_id"), pa.array(ids, pa.binary()), *(part.column(c) for c in places)]
+            at = 0
+            for ids, sizes in encode.batches(batch.column("text")):
+                part = batch.slice(at, len(sizes))
+                at += len(sizes)
+                columns = [part.column("doc_id"), ended(ids, sizes, end_id), *(part.column(c) for c in places)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", *places])
 
     return slim.mapInArrow(run, "doc_id long, ids binary" + "".join(f", {c} {dict(slim.dtypes)[c]}" for c in places))
 
 
+def ended(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> pa.Array:
+    """The ids of each text and the end id, as bytes."""
+    ends = np.cumsum(sizes + 1)
+    out = np.full(len(ids) + len(sizes), end_id, ids.dtype)
+    inside = np.ones(len(out), bool)
+    inside[ends - 1] = False
+    out[inside] = ids
+    offsets = np.concatenate(([0], ends)) * out.itemsize
+    if offsets[-1] >= 1 << 31:
+        raise ValueError("the ids of one text take more than 2 GB")
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out)])
+
+
 def id_type(path: str) -> str:
     return encoder(path).kind
 
