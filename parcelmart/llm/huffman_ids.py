@@ -54,6 +54,8 @@ WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 # White space before a space, and the separator used below (a pattern of Arrow's).
 _ODD = f"[{WHITE}] |\\x00"
+# A full stop or comma that may belong to more than itself; letters about which all Unicode versions agree.
+_RUN = "(^|[^A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])[.,]"
 PRINTS = "<u4"
 
 
@@ -85,14 +87,28 @@ class Encoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Pieces that cannot follow others in one text (a pattern of Arrow's).
         self.apart = "|".join(["^[^ ]", f"[{WHITE}]$", *map(re.escape, special)])
-        self._forget()
-
-    def _forget(self) -> None:
-        # Pieces by number; their ids stand in `pool`, from `starts` on.
+        # Pieces by number; their ids stand in `pool`, from `starts` on; `seen` counts their batches.
         self.known: dict[str, int] = {"": 0}
-        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.starts, self.sizes, self.seen = (np.zeros(1 << 16, np.int64) for _ in range(3))
         self.pool, self.used = np.zeros(1 << 18, self.kind), 0
 
+    def _forget(self) -> None:
+        """Keep the pieces that most batches had, half of what may be kept; age their counts."""
+        count = len(self.known)
+        keep = self.seen[:count] > 1
+        if keep.sum() > CACHE_PIECES // 2:
+            keep = self.seen[:count] > np.partition(self.seen[:count], count - CACHE_PIECES // 2)[count - CACHE_PIECES // 2]
+        keep[0] = True
+        names = list(compress(self.known, keep))
+        sizes, starts = self.sizes[:count][keep], self.starts[:count][keep]
+        ends = np.cumsum(sizes)
+        ids = self.pool[np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)]
+        self.known = dict(zip(names, range(len(names)), strict=True))
+        self.seen[: len(names)] = self.seen[:count][keep] // 2
+        self.seen[len(names) :] = 0
+        self.sizes[: len(names)], self.starts[: len(names)] = sizes, ends - sizes
+        self.pool[: len(ids)], self.used = ids, len(ids)
+
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         for ids, sizes in self.batches(pa.array(texts, pa.string())):
             for part in np.split(ids, np.cumsum(sizes)[:-1]):
@@ -130,6 +146,7 @@ class Encoder:
             numbers[new] = np.arange(len(self.known), len(self.known) + int(new.sum()))
             self._learn(pieces.filter(pa.array(new)))
             self.known.update(zip(compress(names, new), numbers[new].tolist(), strict=True))
+        self.seen[numbers] += 1
         return numbers
 
     def _learn(self, new: pa.Array) -> None:
@@ -155,9 +172,9 @@ class Encoder:
     def _append(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         count, used = int(numbers.max()) + 1, self.used + len(ids)
         if count > len(self.starts):
-            self.starts, self.sizes = (np.resize(x, 2 * count) for x in (self.starts, self.sizes))
+            self.starts, self.sizes, self.seen = (np.pad(x, (0, 2 * count - len(x))) for x in (self.starts, self.sizes, self.seen))
         if used > len(self.pool):
-            self.pool = np.resize(self.pool, 2 * used)
+            self.pool = np.pad(self.pool, (0, 2 * used - len(self.pool)))
         self.pool[self.used : used] = ids
         self.sizes[numbers] = sizes
         self.starts[numbers] = self.used + np.cumsum(sizes) - sizes
@@ -165,8 +182,10 @@ class Encoder:
 
 
 def _pieces(texts: pa.Array) -> pa.ListArray:
-    """Texts cut before spaces that follow no other white space."""
-    plain = pc.split_pattern(pc.replace_substring(texts, " ", "\0 "), "\0")
+    """Texts cut before spaces that follow no other white space, and between letters or digits and full stops or commas."""
+    spaced = pc.replace_substring(texts, " ", "\0 ")
+    marked = pc.replace_substring(pc.replace_substring(spaced, ".", "\0."), ",", "\0,")
+    plain = pc.split_pattern(pc.if_else(pc.match_substring_regex(texts, _RUN), spaced, marked), "\0")
     odd = pc.match_substring_regex(texts, _ODD)
     if not pc.any(odd).as_py():
         return plain

@@ -55,7 +55,7 @@ def test_empty_table(spark):
     assert m.read(spark, folder).count() == 0
 
 
-def test_pieces_give_the_texts_ids():
+def test_pieces_give_the_texts_ids(monkeypatch):
     tokenizer = Tokenizer.from_file(m.tokenizer_path())
     draw = random.Random(4)
     marks = ["a", "Word", "é", "ß", "ǆ", "1", "'s", "'", ".", "!?", "***", " ", "  ", "\n", "\t", "\xa0", "\x1c", "\0", "<|endoftext|>", "|", "語", "\u0301"]
@@ -64,6 +64,11 @@ def test_pieces_give_the_texts_ids():
     encode = m.Encoder(m.tokenizer_path())
     assert list(encode(texts)) == wanted
     assert list(encode(texts)) == wanted
+    monkeypatch.setattr(m, "CACHE_PIECES", 40)
+    monkeypatch.setattr(m, "BATCH_BYTES", 200)
+    encode = m.Encoder(m.tokenizer_path())
+    assert list(encode(texts)) == wanted
+    assert len(encode.known) < 200
 
 
 @pytest.mark.parametrize(("size", "limit"), [(3000, 18), (300, 9), (300, 12), (5, 3), (2, 4), (1, 4)])
