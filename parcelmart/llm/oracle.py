@@ -1,5 +1,7 @@
 """DuckDB SQL of the operators it can express."""
 
+from parcelmart.llm.merkle_sql import merkle_sql
+
 OP10_MIX_SOURCES = r"""
 WITH docs AS (
     SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS hash_order,
@@ -45,6 +47,32 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS sour
 FROM counted
 """
 
+OP13_HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS same,
+           CAST(list_inner_product(a.v, o.v) AS BIGINT) AS score
+    FROM vectors a JOIN vectors o ON a.vec_id <> o.vec_id
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id, positive_score, other_id AS negative_id, score AS negative_score,
+       CAST(row_number() OVER found AS INTEGER) AS rank
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same
+ AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW found AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER found <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op10_mix_sources": OP10_MIX_SOURCES,
+    "op11_merkle_manifest": merkle_sql(),
+    "op13_hard_negatives": OP13_HARD_NEGATIVES,
 }

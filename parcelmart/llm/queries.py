@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm import chat_tokens, context_mixing, curriculum, decontaminate, gam_quality, html_wrappers, huffman_ids, order_minhash, simhash_dedup, warc_index
+from parcelmart.llm import (
+    chat_tokens,
+    context_mixing,
+    curriculum,
+    decontaminate,
+    gam_quality,
+    html_wrappers,
+    huffman_ids,
+    merkle_manifest,
+    order_minhash,
+    simhash_dedup,
+    strassen_negatives,
+    two_fit_packing,
+    warc_index,
+)
 from parcelmart.llm.common import shared_path, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +92,24 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman_ids.read(spark, folder)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof, and the root its (for a fifth: tampered) leaf folds to."""
+    return merkle_manifest.verified(table(spark, sf_dir, "documents"))
+
+
+def op12_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2048 tokens."""
+    found = two_fit_packing.pieces(table(spark, sf_dir, "documents"), huffman_ids.tokenizer_path())
+    return two_fit_packing.placed(found.drop("ids")).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; the labels of a seventh are poisoned."""
+    vectors = strassen_negatives.quantised(table(spark, sf_dir, "embeddings"))
+    poisoned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return strassen_negatives.mine(vectors.withColumn("label", poisoned), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -89,4 +121,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_html_main_text": op9_html_main_text,
     "op10_mix_sources": op10_mix_sources,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_two_fit_packing": op12_two_fit_packing,
+    "op13_hard_negatives": op13_hard_negatives,
 }
