@@ -1,12 +1,21 @@
 """Oracle SQL: routes of the day."""
 
+# Today's uncancelled attempts, one row per parcel they carry (or one without): hidden parcels have
+# no number; `late` counts the parcel's scans after the attempt's deadline.
 _DUE = """
-FROM t_consignments c JOIN t_orders o ON o.id = c.order_id
-JOIN t_postal_code_zones z ON z.id = o.delivery_postal_code_zone_id
-JOIN t_warehouses w ON w.id = z.terminal_id
-LEFT JOIN t_parcel_consignments pc ON pc.consignment_id = c.id
-LEFT JOIN t_parcels p ON p.id = pc.parcel_id AND p.visible
-LEFT JOIN t_scanning_log s ON s.parcel_id = p.id AND s.date > c.deadline
+places AS (
+  SELECT area.id AS zone_id, area.type AS zone_type, area.country_code AS country, code AS terminal_code
+  FROM t_warehouses house JOIN t_postal_code_zones area ON area.terminal_id = house.id),
+scans AS (SELECT parcel_id, list(date) AS moments FROM t_scanning_log GROUP BY 1),
+loads AS (
+  SELECT consignment_id, shown.id AS parcel_id
+  FROM t_parcel_consignments LEFT JOIN (SELECT id FROM t_parcels WHERE visible) shown ON shown.id = parcel_id),
+due AS (
+  SELECT today.id AS consignment_id, today.type, parcel_id, places.*,
+         coalesce(len(list_filter(moments, lambda moment: moment > deadline)), 0) AS late
+  FROM (FROM t_consignments WHERE cancellation_id IS NULL AND date = DATE '1998-08-23') today
+  JOIN (SELECT id AS order_id, delivery_postal_code_zone_id AS zone_id FROM t_orders) USING (order_id)
+  JOIN places USING (zone_id) LEFT JOIN loads ON consignment_id = today.id LEFT JOIN scans USING (parcel_id))
 """
 
 
@@ -74,18 +83,15 @@ JOIN t_postal_code_zones z ON z.id = o.delivery_postal_code_zone_id
 LEFT JOIN t_ratings rt ON rt.consignment_id = c.id
 WHERE r.due_date = CAST(TIMESTAMP '1998-08-23 12:00:00' - INTERVAL 10 HOUR AS DATE) AND r.type = 'DISTRIBUTION'""",
     "due_vs_scanned": f"""
-SELECT w.code AS terminal_code, count(c.id) AS consignments, count(DISTINCT p.id) AS parcels_due,
-       count(DISTINCT s.parcel_id) AS scanned_parcels
-{_DUE}
-WHERE c.date = DATE '1998-08-23' AND c.type IN ('DELIVERY', 'RETURN') AND c.cancellation_id IS NULL
-  AND z.type = 'TO_DOOR'
-GROUP BY w.code""",
+WITH {_DUE}
+SELECT terminal_code, CAST(sum(greatest(late, 1)) AS BIGINT) AS consignments, count(DISTINCT parcel_id) AS parcels_due,
+       count(DISTINCT parcel_id) FILTER (late > 0) AS scanned_parcels
+FROM due WHERE zone_type = 'TO_DOOR' AND type IN ('DELIVERY', 'RETURN') GROUP BY 1""",
     "scanning_progress": f"""
-SELECT w.code AS terminal_code, min(z.country_code) AS country, count(DISTINCT c.id) AS consignments,
-       count(DISTINCT p.id) AS parcels_due, count(DISTINCT s.parcel_id) AS scanned_parcels
-{_DUE}
-WHERE c.date = DATE '1998-08-23' AND c.cancellation_id IS NULL
-GROUP BY w.code""",
+WITH {_DUE}
+SELECT terminal_code, min(country) AS country, count(DISTINCT consignment_id) AS consignments,
+       count(DISTINCT parcel_id) AS parcels_due, count(DISTINCT parcel_id) FILTER (late > 0) AS scanned_parcels
+FROM due GROUP BY 1""",
     "return_route_schedule": """
 WITH departures AS (
   SELECT r.id AS route_id, r.terminal, firm.name AS courier, begin.date AS moment
