@@ -34,22 +34,19 @@ def _order_zones(t: Tables, *extra: str) -> DataFrame:
 
 
 def orders_booked_by_terminal_day(t: Tables, as_of: AsOf) -> DataFrame:
-    booked = (
-        _next_days(t, as_of, "cancellation_id")
-        .join(_order_zones(t), "order_id")
-        .join(zone_terminals(t, v.TO_DOOR, with_country=True), "zone_id")
-    )
     on_stop = t("consumer_stop_consignments", "consignment_id")
+    # Uncancelled attempts of a zone and day are one row, cancelled ones a row per cancellation,
+    # before the terminals' addresses join.
+    per_zone = (
+        flag(_next_days(t, as_of, "cancellation_id").join(_order_zones(t), "order_id"), on_stop, ["consignment_id"], "on_stop")
+        .groupBy("zone_id", day_name(c("date")).alias("day_of_week"), "cancellation_id")
+        .agg(F.count("*").alias("attempts"), F.bool_or("on_stop").alias("on_stop"))
+    )
     return (
-        flag(booked, on_stop, ["consignment_id"], "on_stop")
-        .groupBy(
-            "terminal_code",
-            "terminal_country",
-            day_name(c("date")).alias("day_of_week"),
-            "zone_title",
-        )
+        per_zone.join(zone_terminals(t, v.TO_DOOR, with_country=True), "zone_id")
+        .groupBy("terminal_code", "terminal_country", "day_of_week", "zone_title")
         .agg(
-            (F.count("*") - F.count_distinct("cancellation_id")).alias("order_count"),
+            (F.sum("attempts") - F.count_distinct("cancellation_id")).alias("order_count"),
             F.count_distinct("cancellation_id").alias("cancelled_count"),
             F.bool_or("on_stop").alias("routes_saved"),
         )
@@ -223,18 +220,23 @@ def scheduled_by_group_merchant(t: Tables, as_of: AsOf) -> DataFrame:
     booked = (
         t("consignments", "id as consignment_id", "order_id", "date", "type", "cancellation_id")
         .where(on_or_between(c("date"), as_of.today, as_of.day(5)))
-        .withColumn("weekday", F.upper(day_name(c("date"))))
         .join(_order_zones(t, "buyer_id"), "order_id")
-        .join(zone_terminals(t, v.TO_DOOR, with_country=True), "zone_id")
-        .join(schedule, slot)
     )
-    merchants = buyer_names(t).where(~like_any_case(c("external_name"), v.BOX_MERCHANT_PATTERN))
     on_stop = t("consumer_stop_consignments", "consignment_id")
-    return (
+    # Counted per zone, merchant and day before the terminals' addresses and the schedule join.
+    per_zone = (
         flag(booked, on_stop, ["consignment_id"], "on_stop")
+        .groupBy("zone_id", "buyer_id", "date", "type", "cancellation_id")
+        .agg(F.count("*").alias("attempts"), F.bool_or("on_stop").alias("on_stop"))
+        .withColumn("weekday", F.upper(day_name(c("date"))))
+    )
+    merchants = buyer_names(t).where(~like_any_case(c("external_name"), v.BOX_MERCHANT_PATTERN))
+    return (
+        per_zone.join(zone_terminals(t, v.TO_DOOR, with_country=True), "zone_id")
+        .join(schedule, slot)
         .groupBy("terminal_code", "terminal_country", "date", "buyer_id")
         .agg(
-            (F.count("*") - F.count_distinct("cancellation_id")).alias("order_count"),
+            (F.sum("attempts") - F.count_distinct("cancellation_id")).alias("order_count"),
             F.count_distinct("cancellation_id").alias("cancelled_count"),
             F.max("route_group").alias("route_group"),
             F.bool_or("on_stop").alias("routes_saved"),
