@@ -175,10 +175,10 @@ SELECT id, d AS due_date, {_list('kind', 'DISTRIBUTION', 'LOCKER', 'MERCHANT')}
 FROM (SELECT DISTINCT route AS id, d, nk % 7 AS t, k % 2 AS kind FROM x_plan
       UNION SELECT DISTINCT mroute, d, nk % 7, 2 FROM x_plan WHERE {_MERCHANT})""",
     "t_consumer_stops": f"""
-SELECT k AS id, route AS route_id, (k * 31) % 1009 AS sequence, 1000 + k % 200 AS address_id,
+SELECT k AS id, route AS route_id, (k * 31) % 1009 AS sequence, 1000000000 + k % 200 AS address_id,
        CASE WHEN k % 43 <> 0 THEN k END AS estimated_interval_id FROM x_plan
 UNION ALL
-SELECT 4000000000000 + k, mroute, (k * 31) % 1009, 1000 + k % 200, k FROM x_plan WHERE {_MERCHANT}""",
+SELECT 4000000000000 + k, mroute, (k * 31) % 1009, 1000000000 + k % 200, k FROM x_plan WHERE {_MERCHANT}""",
     "t_consumer_stop_consignments": f"""
 SELECT k AS id, k AS consumer_stop_id, k AS consignment_id, 'DELIVERY' AS type
 FROM x_plan WHERE {_DOOR} AND k % 10 <> 2
@@ -246,11 +246,11 @@ SELECT id, id % 7 AS optimization_id, id AS routeopt_vehicle_and_user_id FROM t_
 SELECT n AS id, CASE WHEN n <> 6 THEN {_list('n % 6', 'Europe/Stockholm', 'Europe/Amsterdam',
     'Europe/Helsinki', 'Europe/Copenhagen', 'Europe/Brussels', 'UTC')} END AS timezone,
        n AS optimization_settings_id
-FROM x_nation WHERE n < 7""",
-    "t_routeopt_settings": "SELECT n AS id, n % 5 AS routeopt_graph_settings_id FROM x_nation WHERE n < 7",
+FROM x_nation""",
+    "t_routeopt_settings": "SELECT n AS id, n % 5 AS routeopt_graph_settings_id FROM x_nation",
     "t_routeopt_graph_settings": """
 SELECT n AS id, n / 2.0::DOUBLE AS drive_time_factor, (n + 1) / 4.0::DOUBLE AS initial_drive_time_factor
-FROM x_nation WHERE n < 5""",
+FROM x_nation""",
     "t_routeopt_vehicles_and_users": """
 SELECT id, id % 10 AS vehicle_id, id % 25 AS routeopt_vehicle_and_user_settings_id FROM t_routes""",
     "t_routeopt_vehicles_and_users_settings": """
@@ -258,7 +258,7 @@ SELECT n AS id, n % 4 AS user_optimization_settings_id FROM x_nation""",
     "t_user_optimization_settings": """
 SELECT n AS id, CASE WHEN n = 3 THEN 'TRAINEE' ELSE 'LEVEL_' || n END AS user_type,
        (n + 2) / 2.0::DOUBLE AS drive_time_factor
-FROM x_nation WHERE n < 4""",
+FROM x_nation""",
     "t_vehicles": """
 SELECT s_suppkey AS id, CASE WHEN s_suppkey % 10 = 9 THEN 'own fleet 9'
        ELSE ' ab-0' || s_suppkey || ' ' END AS license_plate FROM supplier""",
@@ -299,8 +299,7 @@ SELECT 200 + 2 * n + x AS id, CASE WHEN n = 24 THEN 'OTHER' ELSE n_name END AS t
        CASE WHEN n % 12 = 11 THEN {NOW} END AS deleted_at
 FROM x_nation CROSS JOIN (SELECT unnest([0, 1]) AS x)""",
     "x_terminals": """
-SELECT s_suppkey AS id, country_code, s_acctbal FROM supplier JOIN x_nation ON n = s_nationkey
-WHERE s_suppkey < 7""",
+SELECT s_suppkey AS id, country_code, s_acctbal FROM supplier JOIN x_nation ON n = s_nationkey""",
     "t_warehouses": f"""
 SELECT id, 'Terminal ' || id AS name, 'TERM' || id AS code,
        CASE WHEN id = 6 THEN 'OTHER' ELSE 'City ' || id END AS city, CASE WHEN id <> 4 THEN id END AS address_id,
@@ -314,7 +313,7 @@ FROM x_terminals""",
 SELECT id, 'Street ' || id AS street, 'P' || id AS postal_code, 'City ' || id AS city, country_code,
        s_acctbal / 100 AS x, s_acctbal / 200 AS y FROM x_terminals
 UNION ALL
-SELECT 1000 + vec_id, 'Street ' || vec_id, 'P' || (vec_id % 90), 'Town ' || (vec_id % 30),
+SELECT 1000000000 + vec_id, 'Street ' || vec_id, 'P' || (vec_id % 90), 'Town ' || (vec_id % 30),
        {_list('vec_id % 5', *_COUNTRY)}, CAST(embedding[1] AS DOUBLE), CAST(embedding[2] AS DOUBLE)
 FROM embeddings""",
     "t_buyers": f"""

@@ -313,7 +313,7 @@ class StandInTables(Tables):
     def _consumer_stops(self, wanted: frozenset[str]) -> DataFrame:
         tail = [
             "CAST(k * 31 % 1009 AS INT) AS sequence",
-            "1000 + k % 200 AS address_id",
+            "1000000000 + k % 200 AS address_id",
             "IF(k % 43 = 0, NULL, k) AS estimated_interval_id",
         ]
         planned = self._base(PLANNED).selectExpr("k AS id", f"{ROUTE} AS route_id", *tail)
@@ -480,17 +480,17 @@ class StandInTables(Tables):
         )
 
     def _routeopt_optimizations(self, wanted: frozenset[str]) -> DataFrame:
-        return self._nations().where("n < 7").selectExpr(
+        return self._nations().selectExpr(
             "n AS id", f"{pick(ZONES, 'n % 6')} AS timezone", "n AS optimization_settings_id"
         ).selectExpr("id", "IF(id = 6, NULL, timezone) AS timezone", "optimization_settings_id")
 
     def _routeopt_settings(self, wanted: frozenset[str]) -> DataFrame:
-        return self._nations().where("n < 7").selectExpr(
+        return self._nations().selectExpr(
             "n AS id", "n % 5 AS routeopt_graph_settings_id"
         )
 
     def _routeopt_graph_settings(self, wanted: frozenset[str]) -> DataFrame:
-        return self._nations().where("n < 5").selectExpr(
+        return self._nations().selectExpr(
             "n AS id",
             "CAST(n AS DOUBLE) / 2 AS drive_time_factor",
             "CAST(n + 1 AS DOUBLE) / 4 AS initial_drive_time_factor",
@@ -505,7 +505,7 @@ class StandInTables(Tables):
         return self._nations().selectExpr("n AS id", "n % 4 AS user_optimization_settings_id")
 
     def _user_optimization_settings(self, wanted: frozenset[str]) -> DataFrame:
-        return self._nations().where("n < 4").selectExpr(
+        return self._nations().selectExpr(
             "n AS id",
             "IF(n = 3, 'TRAINEE', concat('LEVEL_', n)) AS user_type",
             "CAST(n + 2 AS DOUBLE) / 2 AS drive_time_factor",
@@ -608,10 +608,9 @@ class StandInTables(Tables):
         )
 
     def _terminals(self) -> DataFrame:
-        """The first seven suppliers are the terminals."""
+        """All suppliers are terminals."""
         return (
             self.raw("supplier")
-            .where("s_suppkey < 7")
             .selectExpr("s_suppkey AS id", "CAST(s_nationkey AS BIGINT) AS n", "s_acctbal")
             .join(self._nations(), "n")
         )
@@ -641,7 +640,7 @@ class StandInTables(Tables):
             "named_struct('x', s_acctbal / 100, 'y', s_acctbal / 200) AS coordinate",
         )
         homes = self.raw("embeddings").selectExpr(
-            "1000 + vec_id AS id",
+            "1000000000 + vec_id AS id",
             "concat('Street ', vec_id) AS street",
             "concat('P', vec_id % 90) AS postal_code",
             "concat('Town ', vec_id % 30) AS city",
