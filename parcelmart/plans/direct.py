@@ -47,7 +47,7 @@ from parcelmart.operators.changes import (
 from parcelmart.operators.joins import exclude, flag, keep, latest_per_key
 from parcelmart.operators.windows import previous_row
 from parcelmart.sources.scratch import fresh_folder
-from parcelmart.sources.tables import split_by_bounds
+from parcelmart.sources.tables import fitted_cuts, split_by_bounds
 
 c = F.col
 
@@ -98,6 +98,24 @@ def range_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count("*").alias("orders"))
 
 
+def equal_share_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read in eight shares of equal size by customer, who are as uneven as the data: each row is read once."""
+    orders = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    # A third of the orders have one customer, a fifth none.
+    tenth = c("o_orderkey") % 10
+    uneven = F.when(tenth < 3, F.lit(1)).when(tenth < 8, c("o_custkey"))
+    orders = orders.withColumn("o_custkey", uneven)
+    shares = fitted_cuts(orders, "o_custkey", 8, spread="o_orderkey").predicates()
+    reads = F.array_compact(F.array(*[F.when(F.expr(share), F.lit(n)) for n, share in enumerate(shares)]))
+    found = orders.withColumn("reads", reads)
+    sizes = found.groupBy(c("reads")[0].alias("share")).agg(F.count("*").alias("n"), F.count_if(F.size("reads") == 1).alias("once"))
+    return sizes.agg(
+        F.sum("n").alias("orders"),
+        F.sum("once").alias("read_once"),
+        (F.max("n") <= 2 * F.sum("n") / 8).alias("balanced"),
+    )
+
+
 def day_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain projection with renames under a date filter."""
     return (
@@ -649,6 +667,7 @@ QUERIES = {
         whole_table,
         recent_key_bounds,
         range_split_counts,
+        equal_share_reads,
         day_limits,
         text_predicates,
         page_prefixes,

@@ -122,8 +122,9 @@ def order_progress_over_time(t: Tables, as_of: AsOf) -> DataFrame:
     boxed = t("parcel_box_assignments", "parcel_id", "id as assignment_id", "picked_up")
     rows = orders.join(parcels, "order_id").join(boxed, "parcel_id", "left")
     never_boxed = c("assignment_id").isNull()
-    # The scan log is cut to these parcels before it is reduced.
-    scans = keep(t("scanning_log", "parcel_id"), orders.join(parcels, "order_id"), ["parcel_id"])
+    # The scan log is cut to these parcels before it is reduced; none is scanned before it is ordered.
+    log = t.log("scanning_log", "parcel_id", since=as_of.day(-30))
+    scans = keep(log, orders.join(parcels, "order_id"), ["parcel_id"])
     return (
         flag(rows, scans, ["parcel_id"], "scanned")
         .groupBy("created_date", "country")
@@ -420,7 +421,8 @@ def old_undelivered(t: Tables, as_of: AsOf) -> DataFrame:
     waiting = exclude(
         orders.join(parcels, "order_id"), t("parcel_box_assignments", "parcel_id"), ["parcel_id"]
     )
-    scans = keep(t("scanning_log", "parcel_id"), waiting, ["parcel_id"])
+    log = t.log("scanning_log", "parcel_id", since=as_of.day(-30))
+    scans = keep(log, waiting, ["parcel_id"])
     return (
         keep(waiting, scans, ["parcel_id"])
         .join(lockers, "locker_id")
@@ -491,7 +493,7 @@ def locker_backlog(t: Tables, as_of: AsOf) -> DataFrame:
         t("parcel_box_assignments", "parcel_id"),
         ["parcel_id"],
     )
-    log = t("scanning_log", "id as scan_id", "parcel_id", "user_id", "date")
+    log = t.log("scanning_log", "id as scan_id", "parcel_id", "user_id", "date", since=as_of.day(-30))
     scans = latest_per_key(
         keep(log, waiting, ["parcel_id"]),
         ["parcel_id"],

@@ -183,6 +183,7 @@ SHARED: dict[str, tuple[Callable[[Tables, AsOf], DataFrame], Callable[[DataFrame
 def _results(keys: Iterable[str], tables: Tables, as_of: AsOf) -> Iterator[tuple[str, DataFrame]]:
     """The marts as published; intervals and shared extracts are stored once for all of them."""
     keys = list(keys)
+    tables.begin_refresh()
     tables = with_intervals(tables, fresh_folder(tables.spark, "interval-bounds"))
     uses = Counter(SHARED[key][0] for key in keys if key in SHARED)
     stored: dict[Callable, DataFrame] = {}
@@ -209,7 +210,7 @@ def build(key: str, tables: Tables, as_of: AsOf) -> DataFrame:
 def refresh_files(
     keys: Iterable[str], tables: Tables, as_of: AsOf, root: str, fmt: str = "parquet"
 ) -> dict[str, str]:
-    """Replace the files of the given marts; returns where each was written.
+    """Publish a new version of the given marts' folders; returns them (read with ``sinks.published``).
 
     The source holds ``intervals`` and ``timestamps``; their bounds are resolved once for all marts.
     """
@@ -222,7 +223,7 @@ def refresh_files(
 def refresh_tables(
     keys: Iterable[str], tables: Tables, as_of: AsOf, namespaces: dict[str, str]
 ) -> dict[str, str]:
-    """Replace the catalog tables of the given marts, likewise."""
+    """Publish the given marts as catalog tables behind views, likewise."""
     return {
         key: write_table(result, MARTS[key].table, namespaces[MARTS[key].schema])
         for key, result in _results(keys, tables, as_of)

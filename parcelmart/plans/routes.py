@@ -16,7 +16,6 @@ from parcelmart.functions.text import (
     plain_plate,
 )
 from parcelmart.functions.timeparts import clock_text, to_country_time, to_zone
-from parcelmart.operators.aggregates import concat_distinct
 from parcelmart.operators.joins import join_optional, keep
 from parcelmart.plans.shared import (
     attempts_on_day,
@@ -198,7 +197,8 @@ def _scan_matches(t: Tables, due: DataFrame) -> DataFrame:
     """
     carried = t("parcel_consignments", "consignment_id", "parcel_id")
     visible = t("parcels", "id as parcel_id", "visible").where(c("visible"))
-    scans = t("scanning_log", "parcel_id", "date as scanned_at")
+    first = due.select(F.min("deadline")).scalar()
+    scans = t.log("scanning_log", "parcel_id", "date as scanned_at", since=first)
     linked = join_optional(
         due.join(carried, "consignment_id", "left"),
         visible.select("parcel_id", c("parcel_id").alias("due_parcel_id")),
@@ -310,18 +310,23 @@ def return_route_schedule(t: Tables, as_of: AsOf) -> DataFrame:
         t("pallet_parcels", "pallet_id"),
         ["pallet_id"],
     )
-    names = t("buyers", "id as buyer_id", "external_name as merchants")
-    rows = (
-        merchants.join(filled, "buyer_id")
-        .join(names, "buyer_id")
-        .withColumnRenamed("identifier", "pallets")
+    # A merchant is one row with the list of its pallets, so no route is multiplied by them.
+    names = t("buyers", "id as buyer_id", "external_name as merchant")
+    stocked = filled.groupBy("buyer_id").agg(F.collect_set("identifier").alias("held")).join(names, "buyer_id")
+    listed = F.array_sort(F.array_distinct(F.flatten(F.collect_list("held"))))
+    lists = (
+        merchants.join(stocked, "buyer_id")
+        .groupBy(*route)
+        .agg(
+            F.min("loading_time").alias("loading_time"),
+            F.expr(f"listagg(DISTINCT merchant, '{v.LIST_SEPARATOR}') WITHIN GROUP (ORDER BY merchant)").alias("merchants"),
+            listed.alias("_pallets"),
+        )
+        .withColumn("pallets", F.when(F.size("_pallets") > 0, F.array_join("_pallets", v.LIST_SEPARATOR)))
     )
     couriers = t("owner_operators", "id as owner_operator_id", "name as courier")
     return (
-        concat_distinct(
-            rows, route, ["merchants", "pallets"], v.LIST_SEPARATOR, smallest=["loading_time"]
-        )
-        .join(couriers, "owner_operator_id")
+        lists.join(couriers, "owner_operator_id")
         .join(_first_driver(t), "route_id", "left")
         .select(
             "route_id",
