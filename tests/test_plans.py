@@ -2,8 +2,10 @@
 
 import re
 from datetime import datetime, timedelta
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
@@ -22,14 +24,18 @@ from parcelmart.plans import (
     unassigned,
 )
 from parcelmart.sources.schemas import CONSUMERS, OPERATIONS, schema_of
+from parcelmart.sources.sinks import published
 from parcelmart.sources.standin import STANDIN_AS_OF, StandInTables
 from parcelmart.sources.tables import (
     CatalogTables,
     JdbcTables,
     ParquetTables,
+    Shares,
     Split,
+    Strides,
     Tables,
     declared,
+    fitted_cuts,
     interval_bounds,
     split_by_bounds,
     typed,
@@ -247,19 +253,19 @@ def test_marts_are_replaced_and_repeatable(spark, tmp_path):
         "planned_box_attempts",
     ]
     first = registry.refresh_files(keys, tables, STANDIN_AS_OF, str(tmp_path))
-    before = {key: sorted(spark.read.parquet(path).collect()) for key, path in first.items()}
+    before = {key: sorted(published(spark, path).collect()) for key, path in first.items()}
     second = registry.refresh_files(keys, tables, STANDIN_AS_OF, str(tmp_path))
     assert first == second
-    after = {key: sorted(spark.read.parquet(path).collect()) for key, path in second.items()}
+    after = {key: sorted(published(spark, path).collect()) for key, path in second.items()}
     assert before == after
     # The two marts of one extract are what the plan gives.
     plan = booking.planned_attempts_by_terminal_day(tables, STANDIN_AS_OF)
     for key in keys[2:]:
-        published = spark.read.parquet(first[key]).select(*plan.columns)
-        assert sorted(published.collect()) == sorted(plan.collect())
-    stamped = spark.read.parquet(first["cancellation_rate_per_day"])
+        rows = published(spark, first[key]).select(*plan.columns)
+        assert sorted(rows.collect()) == sorted(plan.collect())
+    stamped = published(spark, first["cancellation_rate_per_day"])
     assert [row[0] for row in stamped.select("refreshed_at").distinct().collect()] == [STANDIN_AS_OF.now]
-    assert "refreshed_at" not in spark.read.parquet(first["limits_from_today"]).columns
+    assert "refreshed_at" not in published(spark, first["limits_from_today"]).columns
 
 
 def test_parquet_and_catalog_sources_read_the_same_table(spark, tmp_path):
@@ -296,6 +302,78 @@ def test_jdbc_reads_are_split_by_range(spark):
     assert split == Split("id", 5, 24, 8)
 
 
+class Server(JdbcTables):
+    """Stands for a row store: its queries run on Spark's own views."""
+
+    def query(self, sql, database, split=None):
+        self.asked = [*getattr(self, "asked", []), sql]
+        return self.spark.sql(sql)
+
+    def in_shares(self, relation, database, predicates):
+        self.shares = [self.spark.sql(f"SELECT * FROM {relation} WHERE {predicate}") for predicate in predicates]
+        return reduce(DataFrame.union, self.shares)
+
+
+def served(spark, rows, split):
+    names = [field.name for field in declared("orders").fields]
+    columns = [c if c in rows.columns else f"CAST(NULL AS {kind}) AS {c}" for c, kind in spark.createDataFrame([], schema_of("orders")).dtypes]
+    rows.selectExpr(*columns).select(*names).createOrReplaceTempView("orders")
+    connection = {"url": "jdbc:mysql://host/{database}"}
+    return Server(spark, connection, {"operations": "ops", "consumers": "people"}, {"orders": split})
+
+
+UNEVEN = {
+    "even": "id",
+    "crowded below": "CAST(id * id * id / 1000000 AS BIGINT)",
+    "hot": "IF(id % 3 = 0, 500, id)",
+    "hot and nulls": "IF(id % 3 = 0, 1, IF(id % 3 = 1, NULL, id))",
+    "one value": "7",
+    "all null": "CAST(NULL AS BIGINT)",
+}
+
+
+@pytest.mark.parametrize("name", UNEVEN)
+@pytest.mark.parametrize("negative", [False, True])
+def test_shares_are_even_and_whole(spark, name, negative):
+    key = "id - 3000" if negative else "id"
+    rows = spark.range(6000).selectExpr(f"{key} AS id", f"CAST({UNEVEN[name]} AS BIGINT) AS buyer_id")
+    tables = served(spark, rows, Shares("buyer_id", 12, spread="id"))
+    found = tables("orders", "id", "buyer_id")
+    assert sorted(found.collect(), key=str) == sorted(rows.collect(), key=str)
+    assert max(share.count() for share in tables.shares) <= 2 * 6000 / 12
+    tables("orders", "id")
+    assert len(tables.asked) == 1
+    # The next refresh fits the shares to what there is then.
+    tables.begin_refresh()
+    served(spark, rows.where("id % 2 = 0"), None)
+    assert sorted(tables("orders", "id").collect()) == sorted(rows.where("id % 2 = 0").select("id").collect())
+    assert len(tables.asked) == 2
+    # The same by Spark's own quantiles.
+    shares = [rows.where(F.expr(p)).count() for p in fitted_cuts(rows, "buyer_id", 12, spread="id").predicates()]
+    assert sum(shares) == 6000 and max(shares) <= 2 * 6000 / 12
+
+
+def test_shares_of_days_texts_and_nothing(spark):
+    rows = spark.range(3000).selectExpr("id", "TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(0, 0, CAST(id / 2 AS INT)) AS created_at", "concat('it''s ', id % 100) AS token")
+    for column in ("created_at", "token"):
+        tables = served(spark, rows, Shares(column, 6, spread="id"))
+        assert tables("orders", "id").count() == 3000 and len(tables.shares) >= 6
+        assert max(share.count() for share in tables.shares) <= 1000
+    assert fitted_cuts(rows, "created_at", 4).predicates()[0].startswith("(created_at < TIMESTAMP '2024-01-01")
+    empty = served(spark, rows.where("false"), Shares("id", 6))
+    assert empty.fitted("orders") is None
+    assert fitted_cuts(rows.where("false"), "id", 6).predicates() == ["1 = 1"]
+
+
+def test_bounds_are_asked_of_the_server(spark):
+    tables = served(spark, spark.range(5, 25), Strides("id", 8))
+    assert tables.fitted("orders") == Split("id", 5, 24, 8) == tables.fitted("orders")
+    assert len(tables.asked) == 1 and tables.fitted("parcels") is None
+    tables.begin_refresh()
+    served(spark, spark.range(0), None)
+    assert tables.fitted("orders") is None
+
+
 def test_memberships_without_a_consumer_do_not_count(spark):
     later = NOW + timedelta(days=3)
     rows = [{"id": i, "consumer_id": key, "active": True, "valid_to": later} for i, key in enumerate((7, 7, None))]
