@@ -12,9 +12,10 @@ siblings and whose texts are short or a digest. A page's elements are read to an
 the wrapper keeps of each only whether it is dropped, main text or neither.
 
 Every slot counts its characters, those inside links, its pages, and the texts all of
-these have in common. Slots are then told apart once per host. Texts in common
-on five or more pages while others vary belong to the template; where tags
-speak for main text this holds for slots no page is without, and not for headings.
+these have in common. Slots are then told apart once per host, by the same rules for any number of pages. Where tags
+speak for main text, a text in common is left out only if it is short and a word of it speaks against it too, such as
+`share` or `subscribe`, and never in headings; an article's sentence that all pages of the host have stays. Where none
+do, slots that never change are left out before the first and after the last slot that varies.
 Alike siblings in a row share one slot, so a text is common there if every page's run has it. A slot of
 links is no main text unless tags speak for it. Tags and names are evidence on slots: those below menus,
 headers, footers, sidebars, notices, adverts, forms or comments are dropped. A class word alone drops
@@ -60,8 +61,6 @@ TEXT_KEPT = 60
 HELD_HOSTS = 2000
 # Parts a host's wrappers are first merged in.
 HOST_PARTS = 32
-# Pages from which on a text that never changes belongs to the template.
-TEMPLATE_PAGES = 5
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "dt", "th", "caption", "legend", "figcaption"}
 
 # Elements of HTML.
@@ -111,6 +110,7 @@ _TOKEN = re.compile(
 )
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([a-zA-Z-]+)")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_DIGEST = re.compile("[0-9a-f]{40}")
 
 
 def host(url: str = "url") -> Column:
@@ -412,14 +412,20 @@ class Wrapper:
         varies = any(slot[2] is None for slot, _ in slots)
         for slot in self._dropped([slot for slot, _ in slots], ranks, doubted, elements, varies):
             ranks[slot] = 0
+        for slot, _ in slots:
+            if ranks[id(slot)] == 1 and slot[3][1] * 2 > slot[3][0]:
+                ranks[id(slot)] = 0
         most = max((slot[3][2] for slot, _ in slots if ranks[id(slot)] > 1), default=0)
+        varying = [k for k, (slot, _) in enumerate(slots) if ranks[id(slot)] == 1 and slot[2] is None]
         decided = {}
-        for slot, holder in slots:
-            rank, (chars, linked, pages) = ranks[id(slot)], slot[3]
-            template = varies and pages >= TEMPLATE_PAGES and (rank == 1 or pages == most and holder not in HEADINGS)
-            if rank == 1 and linked * 2 > chars:
+        for k, (slot, holder) in enumerate(slots):
+            rank, template = ranks[id(slot)], []
+            # What one page says again and again is no template.
+            if rank == 1 and self.pages > 1 and varying and not varying[0] <= k <= varying[-1]:
                 rank = 0
-            decided[id(slot)] = [rank, slot[4] if rank and template else []]
+            if rank > 1 and self.pages > 1 and varies and slot[3][2] == most and holder not in HEADINGS:
+                template = [text for text in slot[4] if not _DIGEST.fullmatch(text) and {w.lower() for w in _WORD.findall(text)} & DROPPED_WORDS]
+            decided[id(slot)] = [rank, template]
 
         def rewritten(node: list) -> list:
             if node[0] == "#":

@@ -2,6 +2,8 @@
 
 from html.parser import HTMLParser
 
+import pytest
+
 from conftest import TESTDATA
 from parcelmart.llm import html_wrappers as m
 from parcelmart.llm import queries
@@ -128,7 +130,7 @@ def test_order_of_pages_does_not_change_what_is_extracted():
 
 
 def test_slots_decide_what_is_main_text(spark):
-    """Alike blocks of an article are told apart by their slots: the same texts on all pages belong to the template."""
+    """Texts that all pages have stay in an article, but for short ones whose words speak against them too."""
 
     def page(i):
         more = f"<section><p>aside {i}</p></section>" if i % 2 else ""
@@ -137,11 +139,27 @@ def test_slots_decide_what_is_main_text(spark):
             f"<p>Read on</p><p>First {i}</p><p>Second {i}</p><div>Our terms apply</div></article></body>"
         )
 
-    wanted = lambda i: f"Title {i} Summary {f'aside {i} ' * (i % 2)}All about {i} First {i} Second {i}"
+    wanted = lambda i: f"Title {i} Summary {f'aside {i} ' * (i % 2)}All about {i} Read on First {i} Second {i} Our terms apply"
     pages = [(i, "http://e.example/x", page(i)) for i in range(8)]
     assert extracted(spark, pages) == {(i, wanted(i)) for i in range(8)}
 
 
+@pytest.mark.parametrize("count", [1, 2, 4, 5, 50])
+def test_sentences_that_all_articles_share_stay(spark, count):
+    """The same text for any number of pages, with an article and without."""
+    said = "<p>We met the mayor at the town hall.</p>"
+    article = lambda i: f"<body><nav>Menu</nav><article><h1>Title {i}</h1>{said}<p>Report number {i}</p><p>The end.</p></article></body>"
+    plain = lambda i: f"<body><div>Home of news</div><h1>Title {i}</h1>{said}<p>Report number {i}</p><div>All our pages</div></body>"
+    pages = [(i, "http://t.example/x", article(i)) for i in range(count)]
+    pages += [(1000 + i, "http://u.example/x", plain(i)) for i in range(count)]
+    text = "Title {0} We met the mayor at the town hall. Report number {0}"
+    found = dict(extracted(spark, pages))
+    assert {found[i] for i in range(count)} == {text.format(i) + " The end." for i in range(count)}
+    # Without tags, what never changes before and after the text goes once another page shows it.
+    bare = text if count > 1 else f"Home of news {text} All our pages"
+    assert {found[1000 + i] for i in range(count)} == {bare.format(i) for i in range(count)}
+
+
 def test_pages_are_aligned_with_the_expression():
     p, q, group = ["p", "?", []], ["q", "", []], ["()", "+", [["a", "", []], ["p", "*", []]]]
     placed = lambda nodes, tags: m.Expression(nodes).positions([[t, []] for t in tags])
