@@ -281,25 +281,28 @@ def eta_vs_arrival_city(t: Tables, as_of: AsOf) -> DataFrame:
         .drop("cancellation_id")
     )
     orders = t("orders", "id as order_id", "delivery_postal_code_zone_id as zone_id")
-    updates = t(
-        "parcel_status_updates",
-        "consignment_id",
-        "user_id",
-        "parcel_status_id as status",
-        "date as reported_at",
-    ).where(c("status").isin(v.COLLECTED, v.DELIVERED, v.MISSED))
-    matching = (F.to_date("reported_at") == c("date")) & (
-        ((c("type") == v.DELIVERY) & c("status").isin(v.DELIVERED, v.MISSED))
-        | ((c("type") == v.RETURN) & (c("status") == v.COLLECTED))
+    visits = whole.join(eta, "route_id").join(on_stop, "stop_id").join(attempts, "consignment_id")
+    # A report belongs to the attempt's day: the log is read from the first of these days on and joined by day.
+    updates = (
+        t.log(
+            "parcel_status_updates",
+            "consignment_id",
+            "user_id",
+            "parcel_status_id as status",
+            "date as reported_at",
+            since=visits.select(F.min("date")).scalar(),
+        )
+        .where(c("status").isin(v.COLLECTED, v.DELIVERED, v.MISSED))
+        .withColumn("date", F.to_date("reported_at"))
+    )
+    matching = ((c("type") == v.DELIVERY) & c("status").isin(v.DELIVERED, v.MISSED)) | (
+        (c("type") == v.RETURN) & (c("status") == v.COLLECTED)
     )
     difference = seconds_of_day(c("start_ts")) - seconds_of_day(c("reported_at"))
     # Drivers join by route and user at once: joined by route alone they would
     # multiply all attempts of the route.
     return (
-        whole.join(eta, "route_id")
-        .join(on_stop, "stop_id")
-        .join(attempts, "consignment_id")
-        .join(updates, "consignment_id")
+        visits.join(updates, ["consignment_id", "date"])
         .where(matching)
         .withColumn("late", difference)
         .where(F.abs(c("late")) < 3 * 3600)

@@ -473,6 +473,52 @@ def test_no_nested_loops(spark, key):
     assert "Python" not in plan and "Pandas" not in plan
 
 
+class Node:
+    """A logical plan read from its printed form."""
+
+    def __init__(self, lines):
+        depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+        self.text, rest = lines[0].lstrip(" :+-"), lines[1:]
+        starts = [i for i, line in enumerate(rest) if depth(line) == depth(rest[0])] if rest else []
+        self.children = [Node(rest[a:b]) for a, b in zip(starts, [*starts[1:], len(rest)], strict=False)]
+
+    def walk(self):
+        yield self
+        for child in self.children:
+            yield from child.walk()
+
+    def has(self, text):
+        return any(text in node.text for node in self.walk())
+
+
+def logical(df):
+    return Node(df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+
+@pytest.mark.parametrize("plan", [booking.orders_booked_by_terminal_day, booking.scheduled_by_group_merchant, booking.planned_attempts_by_terminal_day])
+def test_facts_are_counted_per_zone_before_addresses_join(spark, plan):
+    root = logical(plan(StandInTables(spark, SF), STANDIN_AS_OF))
+    # Addresses come from the embeddings and suppliers, facts from the orders.
+    joins = [n for n in root.walk() if n.text.startswith("Join") and n.has("vec_id#") and any(not child.has("vec_id#") for child in n.children)]
+    with_facts = [child for n in joins for child in n.children if not child.has("vec_id#") and child.has("o_orderkey#")]
+    assert with_facts
+    for child in with_facts:
+        assert any(node.text.startswith("Aggregate [zone_id") for node in child.walk())
+
+
+def test_return_routes_are_not_multiplied_by_pallets(spark):
+    root = logical(routes.return_route_schedule(StandInTables(spark, SF), STANDIN_AS_OF))
+    # The pallets' side of the join by merchant is one row per merchant.
+    joins = [n for n in root.walk() if n.text.startswith("Join Inner") and "buyer_id" in n.text]
+    sides = [child for n in joins for child in n.children if child.has("collect_set(identifier")]
+    assert sides and all(not child.has("o_orderkey#") or child.has("Aggregate [buyer_id") for child in sides)
+
+
+def test_reports_join_by_day(spark):
+    root = logical(quality.eta_vs_arrival_city(StandInTables(spark, SF), STANDIN_AS_OF))
+    assert any(n.text.startswith("Join Inner") and "consignment_id" in n.text and "date" in n.text for n in root.walk())
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = plan_of(direct.cancellation_rate_by_ship_day(spark, SF))
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(l_shipdate", plan)
