@@ -77,8 +77,8 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ranked(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """Rows with `rank` (from 0, within their group) and `total` (rows of the group).
+def ranked(rows: DataFrame, group: str, order: list[str], unkept: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with `rank` (from 0, within their group) and `total` (rows of the group), without columns only the order needs.
 
     A group is not held in one task: rows are range-sorted by group and order, written, and
     numbered by the counts of the parts before theirs. `group` must not be null; rows that tie in
@@ -86,7 +86,7 @@ def ranked(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     """
     keys = [group, *order, "_tie"]
     spread = rows.withColumn("_tie", F.monotonically_increasing_id())
-    spread = spread.repartitionByRange(parallelism(rows.sparkSession), *keys).sortWithinPartitions(*keys).drop("_tie")
+    spread = spread.repartitionByRange(parallelism(rows.sparkSession), *keys).sortWithinPartitions(*keys).drop("_tie", *unkept)
     row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     placed = stage(spread.withColumns({"_part": F.spark_partition_id(), "_row": row}), "ranked")
     counts = placed.groupBy(group, "_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
@@ -94,4 +94,4 @@ def ranked(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     before = F.coalesce(F.sum("_n").over(whole.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     shifts = counts.select(group, "_part", (before - F.col("_first")).alias("_shift"), F.sum("_n").over(whole).alias("total"))
     numbered = placed.join(shifts, [group, "_part"])
-    return numbered.withColumn("rank", F.col("_row") + F.col("_shift")).select(*rows.columns, "rank", "total")
+    return numbered.withColumn("rank", F.col("_row") + F.col("_shift")).select(*(c for c in rows.columns if c not in unkept), "rank", "total")

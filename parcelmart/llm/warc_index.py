@@ -9,7 +9,8 @@ without payload that refer to it.
 `capture_index` reads the archives back by their Content-Length, sorts each file's
 captures by (url key, time, page_id) into a run, deals the runs out by ranges of
 that order and merges them in each range with a loser tree: partition by
-partition the result is the capture history of all URLs in order.
+partition the result is the capture history of all URLs in order. There are as many ranges as
+keep one at about RANGE_CAPTURES captures, whatever their number; ranges cut the history of a URL, too.
 
 Defined results: a null html is an empty payload; a null url has no
 WARC-Target-URI and the empty url key; a null page_id is written as `null` and
@@ -33,6 +34,8 @@ from parcelmart.llm.common import parallelism, stage
 
 FILE_RECORDS = 1024
 LONG_BYTES = 1 << 18
+# Captures a task merges: some 50 MB.
+RANGE_CAPTURES = 100_000
 # Pages carry no time of capture: one second each from here, by page_id.
 FIRST_CAPTURE = 1_704_067_200
 CAPTURE_SPAN = 315_360_000
@@ -221,14 +224,13 @@ def capture_index(spark: SparkSession, folder: str) -> DataFrame:
     local = stage(runs(spark, folder), "index-runs")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_run: dict[str, list] = {}
+        sides, file = [], None
         for batch in batches:
             for row in batch.to_pylist():
-                by_run.setdefault(row["file"], []).append(row)
-        sides = []
-        for rows in by_run.values():
-            rows.sort(key=lambda row: row["seq"])
-            sides.append([(capture_order(row), row) for row in rows])
+                if row["file"] != file:
+                    sides.append([])
+                    file = row["file"]
+                sides[-1].append((capture_order(row), row))
         held = []
         for _, row in LoserTree(sides):
             held.append(row)
@@ -239,5 +241,7 @@ def capture_index(spark: SparkSession, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_pylist(held, schema=schema)
 
     schema = pa.schema(_capture_schema())
-    order = ("url_key", "captured", F.col("page_id").asc_nulls_last())
-    return local.repartitionByRange(parallelism(spark), *order).mapInArrow(merge, CAPTURES)
+    order = ("url_key", "captured", F.col("page_id").asc_nulls_last(), "file", "offset")
+    ranges = max(parallelism(spark), -(-local.count() // RANGE_CAPTURES))
+    dealt = local.repartitionByRange(ranges, *order).sortWithinPartitions("file", "seq")
+    return dealt.mapInArrow(merge, CAPTURES)
