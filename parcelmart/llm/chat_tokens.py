@@ -9,8 +9,10 @@ control string and of every control string that is escaped already, which
 assistant's text begins and -1 where it ends.
 
 The formatted table holds one row per turn (conv_id, place, turn, role, ids,
-loss): the ids of the rows of a conversation by `place` are one training example,
-and no conversation, however long, is held in one task.
+loss): the ids of the rows of a conversation by `place` are one training example.
+Turns are encoded and decoded where they lie; their places come from a range sort and
+prefix counts, so the turns of a conversation, however many, meet in no task, but
+for the digests of `read_back`, which pass over its decoded texts in order.
 
 Defined results: turns are ordered by turn (null last), then role, then text; a
 null role or text is empty; roles other than system, user and assistant get a
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelmart.llm.common import parallelism
+from parcelmart.llm.common import parallelism, ranked
 
 # Markers in the order of their reserved ids; the last opens a role stated as text, closed by the one before.
 MARKERS = ("<s>", "</s>", "[SYS]", "[INST]", "[/INST]", "[/ROLE]", "[ROLE]")
@@ -80,11 +82,10 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def assemble(codec: Codec, first: bool, role: str, role_ids: list[int], text_ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def assemble(codec: Codec, role: str, role_ids: list[int], text_ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """A turn's ids, and its mask as the running sum of the text's begin and end."""
     at = codec.reserved
-    opening = [at[OPENERS[role]]] if role in OPENERS else [at["[ROLE]"], *role_ids, at["[/ROLE]"]]
-    before = ([at["<s>"]] if first else []) + opening
+    before = [at[OPENERS[role]]] if role in OPENERS else [at["[ROLE]"], *role_ids, at["[/ROLE]"]]
     ids = np.array([*before, *text_ids, at["</s>"]], np.int32)
     steps = np.zeros(len(ids) + 1, np.int8)
     if role == TARGET:
@@ -93,37 +94,39 @@ def assemble(codec: Codec, first: bool, role: str, role_ids: list[int], text_ids
     return ids, np.cumsum(steps[:-1], dtype=np.int8)
 
 
+ENCODED = "conv_id long, turn long, role string, text string, ids array<int>, loss array<byte>"
+
+
 def format_turns(turns: DataFrame, path: str) -> DataFrame:
-    """Rows of FORMATTED for every row of turns (conv_id, turn, role, text), in order within each task."""
-    spark = turns.sparkSession
+    """Rows of FORMATTED for every row of turns (conv_id, turn, role, text)."""
     rows = turns.select(
         F.col("conv_id").cast("long"),
         F.col("turn").cast("long"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    order = ("conv_id", F.col("turn").asc_nulls_last(), "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        last, place = object(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000).to_pylist()
-                texts = own.encode([escape(r["text"]) for r in part])
-                roles = own.encode([escape(r["role"]) for r in part])
-                out = []
-                for row, text_ids, role_ids in zip(part, texts, roles, strict=True):
-                    place = place + 1 if row["conv_id"] == last else 0
-                    last = row["conv_id"]
-                    ids, loss = assemble(own, place == 0, row["role"], role_ids, text_ids)
-                    out.append((row["conv_id"], place, row["turn"], row["role"], ids, loss))
-                columns = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-
-    names = [c.split()[0] for c in FORMATTED.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int8())]
-    return rows.repartition(parallelism(spark), "conv_id").sortWithinPartitions(*order).mapInArrow(run, FORMATTED)
+                part = batch.slice(at, 1000)
+                roles = part.column("role").to_pylist()
+                texts = own.encode([escape(t) for t in part.column("text").to_pylist()])
+                stated = own.encode([escape(r) for r in roles])
+                made = [assemble(own, *turn) for turn in zip(roles, stated, texts, strict=True)]
+                lists = zip(*made, strict=True)
+                columns = [pa.array(c, t) for c, t in zip(lists, (pa.list_(pa.int32()), pa.list_(pa.int8())), strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=names)
+
+    names = [c.split()[0] for c in ENCODED.split(", ")]
+    encoded = rows.mapInArrow(run, ENCODED)
+    # A null conv_id is a conversation, a null turn comes last.
+    keyed = encoded.withColumns({"conversation": F.coalesce(F.col("conv_id").cast("string"), F.lit("")), "undated": F.col("turn").isNull()})
+    placed = ranked(keyed, "conversation", ["undated", "turn", "role", "text"], unkept=("undated", "text"))
+    opened = lambda column, first: F.when(F.col("rank") == 0, F.concat(F.array(first), column)).otherwise(F.col(column)).alias(column)
+    begin, unmasked = F.lit(codec(path).reserved["<s>"]), F.lit(0).cast("byte")
+    return placed.select("conv_id", F.col("rank").alias("place"), "turn", "role", opened("ids", begin), opened("loss", unmasked))
 
 
 def read_turn(codec: Codec, ids: list[int], loss: list[int]) -> tuple[str, str, str, int]:
@@ -148,12 +151,26 @@ def read_turn(codec: Codec, ids: list[int], loss: list[int]) -> tuple[str, str,
 READ = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long, loss_tokens long"
 
 
+DECODED = "conv_id long, place long, said binary, under string, chars long, tokens long, loss_tokens long"
+
+
 def read_back(formatted: DataFrame, path: str) -> DataFrame:
     """Per conversation, from the formatted ids and masks: digests and counts of READ."""
     spark = formatted.sparkSession
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
+        for batch in batches:
+            out = []
+            for ids, loss in zip(batch.column("ids").to_pylist(), batch.column("loss").to_pylist(), strict=True):
+                role, text, under, chars = read_turn(own, ids, loss)
+                out.append((f"{role}\n{text}\n".encode(), under, chars, len(ids), sum(loss)))
+            columns = zip(*out, strict=True) if out else [[]] * 5
+            kinds = (pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+            arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("place"), *arrays], names=[c.split()[0] for c in DECODED.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, state = [], None
 
         def closed(s):
@@ -169,14 +186,12 @@ def read_back(formatted: DataFrame, path: str) -> DataFrame:
                     if state is not None:
                         held.append(closed(state))
                     state = {"conv_id": row["conv_id"], "n": 0, "turns": hashlib.sha256(), "loss": hashlib.sha256(), "loss_chars": 0, "chars": 0, "tokens": 0, "loss_tokens": 0}
-                role, text, under, chars = read_turn(own, row["ids"], row["loss"])
                 state["n"] += 1
-                state["turns"].update(f"{role}\n{text}\n".encode())
-                state["loss"].update(under.encode())
-                state["loss_chars"] += len(under)
-                state["chars"] += chars
-                state["tokens"] += len(row["ids"])
-                state["loss_tokens"] += sum(row["loss"])
+                state["turns"].update(row["said"])
+                state["loss"].update(row["under"].encode())
+                state["loss_chars"] += len(row["under"])
+                for name in ("chars", "tokens", "loss_tokens"):
+                    state[name] += row[name]
             if len(held) >= 1000:
                 yield out(held)
                 held = []
@@ -187,6 +202,5 @@ def read_back(formatted: DataFrame, path: str) -> DataFrame:
 
     names = [c.split()[0] for c in READ.split(", ")]
     types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
-    ordered = formatted.select("conv_id", "place", "ids", "loss").repartition(parallelism(spark), "conv_id")
-    return ordered.sortWithinPartitions("conv_id", "place").mapInArrow(run, READ)
-
+    decoded = formatted.select("conv_id", "place", "ids", "loss").mapInArrow(decode, DECODED)
+    return decoded.repartition(parallelism(spark), "conv_id").sortWithinPartitions("conv_id", "place").mapInArrow(run, READ)
