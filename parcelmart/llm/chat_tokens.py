@@ -10,8 +10,8 @@ assistant's text begins and -1 where it ends.
 
 The formatted table holds one row per turn (conv_id, place, turn, role, ids,
 loss): the ids of the rows of a conversation by `place` are one training example.
-Turns are encoded and decoded where they lie; their places come from a range sort and
-prefix counts, so the turns of a conversation, however many, meet in no task, but
+Places come from a range sort of the turns and prefix counts, and turns are encoded and decoded
+where they then lie, so the turns of a conversation, however many, meet in no task, but
 for the digests of `read_back`, which pass over its decoded texts in order.
 
 Defined results: turns are ordered by turn (null last), then role, then text; a
@@ -82,10 +82,11 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def assemble(codec: Codec, role: str, role_ids: list[int], text_ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def assemble(codec: Codec, first: bool, role: str, role_ids: list[int], text_ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """A turn's ids, and its mask as the running sum of the text's begin and end."""
     at = codec.reserved
-    before = [at[OPENERS[role]]] if role in OPENERS else [at["[ROLE]"], *role_ids, at["[/ROLE]"]]
+    opening = [at[OPENERS[role]]] if role in OPENERS else [at["[ROLE]"], *role_ids, at["[/ROLE]"]]
+    before = ([at["<s>"]] if first else []) + opening
     ids = np.array([*before, *text_ids, at["</s>"]], np.int32)
     steps = np.zeros(len(ids) + 1, np.int8)
     if role == TARGET:
@@ -94,16 +95,16 @@ def assemble(codec: Codec, role: str, role_ids: list[int], text_ids: list[int])
     return ids, np.cumsum(steps[:-1], dtype=np.int8)
 
 
-ENCODED = "conv_id long, turn long, role string, text string, ids array<int>, loss array<byte>"
-
-
 def format_turns(turns: DataFrame, path: str) -> DataFrame:
     """Rows of FORMATTED for every row of turns (conv_id, turn, role, text)."""
     rows = turns.select(
-        F.col("conv_id").cast("long"),
-        F.col("turn").cast("long"),
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
+        # A null conv_id is a conversation, a null turn comes last.
+        F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conversation"),
+        F.col("turn").isNull().alias("undated"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,19 +115,15 @@ def format_turns(turns: DataFrame, path: str) -> DataFrame:
                 roles = part.column("role").to_pylist()
                 texts = own.encode([escape(t) for t in part.column("text").to_pylist()])
                 stated = own.encode([escape(r) for r in roles])
-                made = [assemble(own, *turn) for turn in zip(roles, stated, texts, strict=True)]
+                first = [place == 0 for place in part.column("place").to_pylist()]
+                made = [assemble(own, *turn) for turn in zip(first, roles, stated, texts, strict=True)]
                 lists = zip(*made, strict=True)
                 columns = [pa.array(c, t) for c, t in zip(lists, (pa.list_(pa.int32()), pa.list_(pa.int8())), strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=names)
-
-    names = [c.split()[0] for c in ENCODED.split(", ")]
-    encoded = rows.mapInArrow(run, ENCODED)
-    # A null conv_id is a conversation, a null turn comes last.
-    keyed = encoded.withColumns({"conversation": F.coalesce(F.col("conv_id").cast("string"), F.lit("")), "undated": F.col("turn").isNull()})
-    placed = ranked(keyed, "conversation", ["undated", "turn", "role", "text"], unkept=("undated", "text"))
-    opened = lambda column, first: F.when(F.col("rank") == 0, F.concat(F.array(first), column)).otherwise(F.col(column)).alias(column)
-    begin, unmasked = F.lit(codec(path).reserved["<s>"]), F.lit(0).cast("byte")
-    return placed.select("conv_id", F.col("rank").alias("place"), "turn", "role", opened("ids", begin), opened("loss", unmasked))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names[:4]), *columns], names=names)
+
+    names = [c.split()[0] for c in FORMATTED.split(", ")]
+    placed = ranked(rows, "conversation", ["undated", "turn", "role", "text"], unkept=("undated",))
+    return placed.select("conv_id", F.col("rank").alias("place"), "turn", "role", "text").mapInArrow(run, FORMATTED)
 
 
 def read_turn(codec: Codec, ids: list[int], loss: list[int]) -> tuple[str, str, str, int]:
