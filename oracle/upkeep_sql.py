@@ -27,6 +27,7 @@ WHERE e.event_type <> 'error'""",
     "ecommerce_orders_from_partials": booking_sql.QUERIES["ecommerce_orders_per_day"],
     "box_orders_from_partials": booking_sql.QUERIES["box_orders_per_day"],
     "signups_from_partials": consumers_sql.QUERIES["signups_over_time_clamped"],
+    "consumer_stats_from_partials": consumers_sql.QUERIES["consumer_order_stats"],
     "backlog_from_stored_log": lockers_sql.QUERIES["locker_backlog"],
     "due_vs_scanned_from_stored_log": routes_sql.QUERIES["due_vs_scanned"],
     "distinct_buyers_per_week": """

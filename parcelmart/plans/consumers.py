@@ -36,12 +36,17 @@ def consumer_order_stats(t: Tables, as_of: AsOf) -> DataFrame:
         "orders", "id as order_id", "delivery_postal_code_zone_id as zone_id", "created_at"
     ).where(c("created_at") >= ts_lit(as_of.day(months=-12)))
     links = t("consumer_order", "consumer_id as consumer_key", "order_id")
+    per_zone = orders.join(links, "order_id").groupBy("consumer_key", "zone_id").agg(F.count("*").alias("orders"))
+    return order_stats(t, per_zone)
+
+
+def order_stats(t: Tables, per_zone: DataFrame) -> DataFrame:
+    """The statistics from numbers of orders per (consumer_key, zone_id)."""
     consumers = t("consumer", "id as consumer_key", "consumer_id")
     counts = (
-        orders.join(links, "order_id")
-        .join(zones(t).select("zone_id", "country"), "zone_id", "left")
+        per_zone.join(zones(t).select("zone_id", "country"), "zone_id", "left")
         .groupBy("consumer_key", "country")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("orders").alias("n"))
         .join(consumers, "consumer_key")
         .groupBy("consumer_id", "country")
         .agg(F.sum("n").alias("n"))

@@ -18,7 +18,7 @@ from parcelmart.operators import bitmaps
 from parcelmart.operators.changes import BucketedState
 from parcelmart.operators.partials import DailyPartials
 from parcelmart.operators.ranges import within
-from parcelmart.plans import lockers, routes
+from parcelmart.plans import consumers, lockers, routes
 from parcelmart.plans.direct import _read
 from parcelmart.plans.shared import tagged_buyers, zones
 from parcelmart.sources.logs import StoredLogs, stored_logs
@@ -69,9 +69,9 @@ def _in_three_batches(final: DataFrame, day: str, cancelled: str | None) -> list
     ]
 
 
-def replicated(spark: SparkSession, batch: DataFrame, name: str) -> BucketedState:
+def replicated(spark: SparkSession, batch: DataFrame, name: str, *more_keys: str) -> BucketedState:
     """An empty table for change batches like this one (id, change, gone and others)."""
-    return BucketedState(spark, fresh_folder(spark, name), batch.schema, keys=["id"], order=["change"], deleted="gone")
+    return BucketedState(spark, fresh_folder(spark, name), batch.schema, keys=["id", *more_keys], order=["change"], deleted="gone")
 
 
 def part_day(moment: str) -> Column:
@@ -84,9 +84,10 @@ def after_batches(
     batches: list[DataFrame],
     partials: DailyPartials,
     refresh: Callable[[BucketedState], object],
+    *more_keys: str,
 ) -> DailyPartials:
     """Merge every batch and refresh the partials after each."""
-    state = replicated(spark, batches[0], "replicated")
+    state = replicated(spark, batches[0], "replicated", *more_keys)
     for batch in batches:
         state.merge(batch)
         refresh(state)
@@ -155,6 +156,30 @@ def box_orders_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return box_orders(t, partials, STANDIN_AS_OF)
 
 
+# Consumers by number of orders -------------------------------------------------------
+
+
+def consumer_partials(spark: SparkSession, root: str) -> DailyPartials:
+    return DailyPartials(spark, root, "consumer_key bigint, zone_id bigint", "orders bigint")
+
+
+def refresh_consumer_orders(partials: DailyPartials, linked: BucketedState) -> list[str]:
+    """``linked`` holds one row per order and consumer."""
+    groups = {"consumer_key": c("consumer_key"), "zone_id": c("delivery_postal_code_zone_id")}
+    return partials.refresh(linked, F.to_date("created_at"), groups, {"orders": F.lit(1)})
+
+
+def consumer_stats_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart of twelve months from the partials of their days."""
+    t = StandInTables(spark, sf_dir)
+    orders = t("orders", "id", "delivery_postal_code_zone_id", "created_at")
+    linked = orders.join(t("consumer_order", "consumer_id as consumer_key", "order_id as id"), "id")
+    partials = consumer_partials(spark, fresh_folder(spark, "partials"))
+    batches = _in_three_batches(linked, "created_at", None)
+    after_batches(spark, batches, partials, lambda table: refresh_consumer_orders(partials, table), "consumer_key")
+    return consumers.order_stats(t, partials.window(STANDIN_AS_OF.day(months=-12)))
+
+
 # Sign-ups per month -----------------------------------------------------------------
 
 
@@ -162,10 +187,10 @@ def signup_partials(spark: SparkSession, root: str) -> DailyPartials:
     return DailyPartials(spark, root, "created_date date", "consumers bigint")
 
 
-def refresh_signups(partials: DailyPartials, consumers: BucketedState) -> list[str]:
+def refresh_signups(partials: DailyPartials, table: BucketedState) -> list[str]:
     # Days without a date count on the first day shown, as older ones do.
     day = F.coalesce(F.to_date("created_at"), F.lit(date(1970, 1, 1)))
-    return partials.refresh(consumers, day, {"created_date": day}, {"consumers": F.lit(1)})
+    return partials.refresh(table, day, {"created_date": day}, {"consumers": F.lit(1)})
 
 
 def signups(partials: DailyPartials, as_of: AsOf) -> DataFrame:
@@ -179,9 +204,9 @@ def signups(partials: DailyPartials, as_of: AsOf) -> DataFrame:
 
 
 def signups_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    consumers = StandInTables(spark, sf_dir)("consumer", "id", "created_at")
+    signed_up = StandInTables(spark, sf_dir)("consumer", "id", "created_at")
     partials = signup_partials(spark, fresh_folder(spark, "partials"))
-    after_batches(spark, _in_three_batches(consumers, "created_at", None), partials, lambda table: refresh_signups(partials, table))
+    after_batches(spark, _in_three_batches(signed_up, "created_at", None), partials, lambda table: refresh_signups(partials, table))
     return signups(partials, STANDIN_AS_OF)
 
 
@@ -247,6 +272,7 @@ QUERIES = {
         ecommerce_orders_from_partials,
         box_orders_from_partials,
         signups_from_partials,
+        consumer_stats_from_partials,
         distinct_buyers_per_week,
         events_within_minutes,
         event_props_columns,
