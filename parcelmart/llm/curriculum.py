@@ -15,7 +15,8 @@ demand gets the training position t = G^-1(u).
 Defined results: a null or empty text has size 0 and is taken 0 words; a null
 source is a source of its own; repeated rows are separate documents; a source
 of size 0 has target 0 and none of its rows is copied; an empty table gives an
-empty result. Input columns named like a result column are replaced.
+empty result. Words are counted in whole texts of any length. Input columns named like a result
+column are replaced, others kept.
 """
 
 from __future__ import annotations

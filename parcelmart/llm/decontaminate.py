@@ -16,7 +16,9 @@ At similarity 0.8 fingerprints differ in about 10 of 64 bits; the radius is 20.
 
 Defined results: a null or empty text or item matches nothing; repeated rows match
 alike, each for itself; per row and item the window with the highest similarity, then the
-lowest distance, then the first, is reported; an empty table or benchmark gives no match.
+lowest distance, then the first, is reported; an empty table or benchmark gives no match. Texts are
+searched whole at any length; other columns are not looked at, and clean documents keep them
+as they are, whatever their names.
 
 The benchmark is a stated query set: it goes to the tasks in blocks of at
 most ITEM_BLOCK items, with one pass over the documents per block.

@@ -14,7 +14,8 @@ Defined results: a null or empty text has all features 0; labels that are null
 or contradict each other for an id are left out; a table without usable labels or
 with one label only scores every row by its prior (0.5 without any);
 repeated rows get equal scores; an empty table gives an empty result. Input
-columns named like a result column are replaced.
+columns named like a result column are replaced, others kept; features are taken from
+whole texts of any length.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ the block; the first may have begun earlier, at `first_start` of its shard.
 Rows as files: Spark's committer makes a repeated task harmless, and blocks are
 read by column. Defined results: a null or empty text is the end id alone;
 repeated rows follow each other; a null doc_id comes first; an empty table
-writes empty tables and reads back as none.
+writes empty tables and reads back as none; a text may run over many blocks, its ids up to
+2 GB; columns but doc_id and text are not written.
 """
 
 from __future__ import annotations

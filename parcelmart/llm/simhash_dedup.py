@@ -17,7 +17,8 @@ Defined results: a null or empty text, or one of white space only, has the
 fingerprint zero, which links like any other; texts of fewer than `k` words
 have one shingle, the whole sequence; repeated rows are documents of one group;
 a null doc_id counts as larger than any other, and a group of such rows alone has a
-null component; an empty table gives an empty result.
+null component; an empty table gives an empty result. Texts are read whole at any length;
+of other columns none is looked at, and `one_of_each` returns them as they are, whatever their names.
 """
 
 from __future__ import annotations
