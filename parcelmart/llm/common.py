@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -26,12 +29,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return folder
 
 
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that run inside go when the query has ended, not when the driver collects garbage."""
+    before = spark.conf.get(REMOVE_SHUFFLES, "false")
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(REMOVE_SHUFFLES, before)
+
+
 def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write a DataFrame to the shared folder and read it back: the lineage ends here."""
+    """Write a DataFrame to the shared folder and read it back: the lineage ends here, and its shuffles are of no more use."""
     spark = df.sparkSession
     folder = shared_path(spark, name)
     writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(folder)
+    with shuffles_removed(spark):
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
