@@ -7,21 +7,20 @@ SELECT CAST(sum(CAST(ts.active AS INTEGER)) AS BIGINT) AS active_memberships,
 FROM t_timeslot_subscription ts JOIN t_consumer c ON c.id = ts.consumer_id
 WHERE ts.valid_to > TIMESTAMP '1998-08-23 12:00:00'""",
     "consumer_order_stats": """
-SELECT country, count(*) AS consumers, count(CASE WHEN n = 1 THEN 1 END) AS one_order,
-       count(CASE WHEN n = 2 THEN 1 END) AS two_orders, count(CASE WHEN n >= 3 THEN 1 END) AS three_or_more_orders,
-       CAST(count(CASE WHEN n = 1 THEN 1 END) AS DOUBLE) / count(*) * 100 AS one_order_percent,
-       CAST(count(CASE WHEN n = 2 THEN 1 END) AS DOUBLE) / count(*) * 100 AS two_orders_percent,
-       CAST(count(CASE WHEN n >= 3 THEN 1 END) AS DOUBLE) / count(*) * 100 AS three_or_more_orders_percent
-FROM (
-  SELECT z.country_code AS country, c.consumer_id, count(o.id) AS n
-  FROM t_consumer c JOIN t_consumer_order co ON co.consumer_id = c.id JOIN t_orders o ON o.id = co.order_id
-  JOIN t_postal_code_zones z ON z.id = o.delivery_postal_code_zone_id
-  WHERE o.created_at >= TIMESTAMP '1997-08-23' GROUP BY 1, 2
-  UNION ALL
-  SELECT 'All', c.consumer_id, count(o.id)
-  FROM t_consumer c JOIN t_consumer_order co ON co.consumer_id = c.id JOIN t_orders o ON o.id = co.order_id
-  WHERE o.created_at >= TIMESTAMP '1997-08-23' GROUP BY 2)
-GROUP BY country""",
+WITH placed AS (
+  SELECT link.consumer_id AS person, delivery_postal_code_zone_id AS zone_id
+  FROM t_orders JOIN t_consumer_order link ON link.order_id = t_orders.id WHERE created_at >= TIMESTAMP '1997-08-23'),
+counted AS (
+  SELECT consumer_id, if(grouping(country_code) = 1, 'All', country_code) AS country, count(*) AS n
+  FROM placed JOIN t_consumer ON t_consumer.id = person LEFT JOIN t_postal_code_zones area ON area.id = zone_id
+  GROUP BY GROUPING SETS ((consumer_id, country_code), (consumer_id))),
+sized AS (
+  SELECT country, count(*) AS consumers, count(*) FILTER (n = 1) AS one_order, count(*) FILTER (n = 2) AS two_orders,
+         count(*) FILTER (n > 2) AS three_or_more_orders
+  FROM counted WHERE country IS NOT NULL GROUP BY 1)
+SELECT *, one_order::DOUBLE / consumers * 100 AS one_order_percent, two_orders::DOUBLE / consumers * 100 AS two_orders_percent,
+       three_or_more_orders::DOUBLE / consumers * 100 AS three_or_more_orders_percent
+FROM sized""",
     "signups_over_time_clamped": """
 SELECT year(d) AS year, month(d) AS month, count(id) AS consumers, min(d) AS date
 FROM (SELECT id, CASE WHEN created_at IS NULL OR CAST(created_at AS DATE) < DATE '1997-08-23'
@@ -45,12 +44,12 @@ FROM t_sms_notifications
 WHERE sent >= TIMESTAMP '1998-07-23' AND substr(message_id, 1, 9) = 'projects/'
 GROUP BY 1, 2""",
     "consumer_orders_by_merchant": """
-SELECT c.consumer_id, b.external_name AS merchant, z.country_code AS country,
-       count(DISTINCT o.id) AS orders, count(p.id) AS parcels
-FROM t_orders o JOIN t_buyers b ON b.id = o.buyer_id AND b.deleted_at IS NULL
-JOIN t_consumer_order co ON co.order_id = o.id JOIN t_consumer c ON c.id = co.consumer_id
-JOIN t_postal_code_zones z ON z.id = o.delivery_postal_code_zone_id
-JOIN t_parcels p ON p.order_id = o.id
-WHERE o.created_at >= TIMESTAMP '1998-02-23'
-GROUP BY 1, 2, 3""",
+WITH contents AS (SELECT order_id, count(*) AS pieces FROM t_parcels GROUP BY 1),
+shops AS (SELECT id AS buyer_id, external_name AS merchant FROM t_buyers WHERE deleted_at IS NULL),
+bought AS (
+  SELECT id AS order_id, buyer_id, delivery_postal_code_zone_id AS zone_id FROM t_orders WHERE created_at >= TIMESTAMP '1998-02-23')
+SELECT person.consumer_id, merchant, country_code AS country, count(DISTINCT order_id) AS orders, CAST(sum(pieces) AS BIGINT) AS parcels
+FROM contents JOIN bought USING (order_id) JOIN shops USING (buyer_id) JOIN t_consumer_order link USING (order_id)
+JOIN t_consumer person ON person.id = link.consumer_id JOIN t_postal_code_zones area ON area.id = zone_id
+GROUP BY ALL""",
 }
