@@ -47,7 +47,7 @@ LIMIT = 17
 # Pieces a worker keeps, at most, and those it encodes as one text.
 CACHE_PIECES = 1_000_000
 JOINED = 4096
-BATCH_BYTES = 1 << 23
+BATCH_BYTES = 1 << 22
 # Unicode's White_Space characters.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # The tokenizer never joins what stands before white space to what follows, so
@@ -215,6 +215,7 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID, order: Column | No
                 at += len(sizes)
                 columns = [part.column("doc_id"), ended(ids, sizes, end_id), *(part.column(c) for c in places)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", *places])
+            pa.default_memory_pool().release_unused()
 
     return slim.mapInArrow(run, "doc_id long, ids binary" + "".join(f", {c} {dict(slim.dtypes)[c]}" for c in places))
 
