@@ -84,7 +84,6 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
                 ]
                 seen += np.bincount(length, minlength=capacity + 1)
                 yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in PIECES.split(", ")])
-            pa.default_memory_pool().release_unused()
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return stage(slim.mapInArrow(run, PIECES), "pieces")
