@@ -283,3 +283,47 @@ def test_nothing_to_learn_from_and_empty_table(spark):
     one = m.scored(spark.createDataFrame([(held, "a b", "x")], SCHEMA)).collect()
     assert (one[0].n_known, one[0].train_tokens, one[0].base_score) == (0, 0, 0.0)
     assert m.scored(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_copy_of_a_short_document_counts(spark):
+    """Contexts of all documents are known, also of those too short for a sample of contexts."""
+    draw = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(300)]
+    teachers = [i for i in range(1000) if teaching(i)]
+    twice = [" ".join(draw.choice(words, 12)) for _ in range(60)]
+    once = [" ".join(draw.choice(words, 12)) for _ in range(60)]
+    rows = list(zip(teachers, [*twice, *twice, *once], strict=False))
+    scores = {r.doc_id: r.score for r in m.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    copied, alone = ([scores[i] for i, _ in part] for part in (rows[:120], rows[120:]))
+    assert min(copied) > max(alone)
+
+
+def test_copies_against_loops(spark, monkeypatch):
+    """What follows all contexts, over chunks, parts, repeated and null ids."""
+    monkeypatch.setattr(m, "BYTES_PER_PART", 300)
+    draw = np.random.default_rng(8)
+    texts = [" ".join(draw.choice(["a", "b", "c", "É"], draw.integers(0, 12))) for _ in range(300)]
+    rows = [(None if i % 50 == 0 else int(draw.integers(-60, 150)), t) for i, t in enumerate(texts)]
+    marked = m.stage(m.tokenize(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), contexts=False), "test-tokens", partition_by="kind")
+    assert marked.where(m.F.col("kind") == m.CONTEXT).count() == 0
+    told, tokens_of = m.copies(marked).toArrow(), marked.toArrow()
+    follows, seen = continuations(rows), 0
+    for chunk in set(tokens_of.column("chunk").to_pylist()):
+        own = tokens_of.filter(m.pc.equal(tokens_of.column("chunk"), chunk))
+        documents = own.filter(m.pc.equal(own.column("kind"), m.DOCUMENT)).sort_by("slot")
+        words, hashes = m._chunk_words(own.filter(m.pc.equal(own.column("kind"), m.LISTED)))
+        ids, sizes = m._word_numbers(documents)
+        found = told.filter(m.pc.equal(told.column("chunk"), chunk))
+        got = m.predicted(ids, sizes, documents.column("doc_id"), documents.column("held_out").to_numpy(), hashes, found).tolist()
+        at = 0
+        for doc_id, size in zip(documents.column("doc_id").to_pylist(), sizes.tolist(), strict=True):
+            text = [words[i] for i in ids[at : at + size]] + [m.END]
+            expected = [0] * len(text)
+            for i, x in contexts_of(text)[0]:
+                sources = [after for key, after in follows.get(x, ()) if key != (doc_id is not None, doc_id or 0)]
+                for k, h in enumerate(np.frombuffer(sources[0], "<u2").tolist() if sources else ()):
+                    if i + k < len(text):
+                        expected[i + k] = h
+            assert got[: len(text)] == expected
+            got, at, seen = got[len(text) :], at + size, seen + 1
+    assert seen == len(rows)
