@@ -186,6 +186,87 @@ def test_vectorised_counts_and_spelling_equal_loops():
         assert abs(total - value) < 1e-4 * max(1, abs(total))
 
 
+def drawn_words(seed, size):
+    draw = np.random.default_rng(seed)
+    return sorted({b"".join(draw.choice([b"th", b"er", "é".encode(), b"a"], draw.integers(1, 6))) for _ in range(size)}, key=zlib.crc32)
+
+
+def test_words_that_begin_alike_share_their_bits(monkeypatch):
+    """Counting and spelling look a beginning up once, whatever the order of the words, with the results of each word alone."""
+    words = drawn_words(2, 300) + [m.END]
+    distinct = {(w + b" ")[: k + 1] for w in words for k in range(len(w) + 1)}
+    words.append(b"z" * 70_000)
+    counted = np.arange(len(words), 0, -1)
+    together, alone = m.Model(), m.Model()
+    m.count_bits(together, words, counted)
+    for begin in range(0, len(words), 50):
+        m.count_bits(alone, words[begin : begin + 50], counted[begin : begin + 50])
+    for k in range(len(m.TABLE_BITS)):
+        assert (together.seen[k] == alone.seen[k]).all() and (together.ones[k] == alone.ones[k]).all()
+        assert together.seen[k].sum(dtype=float) == 8 * sum(n * (len(w) + 1) for w, n in zip(words, counted.tolist(), strict=True))
+    looked_up, totals = [], m.Speller.bit_totals
+    speller = m.Speller(together)
+    one_by_one = [float(speller([w])[0]) for w in words]
+    monkeypatch.setattr(m.Speller, "bit_totals", lambda self, flat, contexts: looked_up.append(len(flat)) or totals(self, flat, contexts))
+    assert speller(words).tolist() == one_by_one
+    assert sum(looked_up) == len(distinct) + 70_001 < sum(len(w) + 1 for w in words)
+    assert speller([]).tolist() == [] and speller([words[3]] * 2).tolist() == [one_by_one[3]] * 2
+
+
+def test_predictions_without_the_token_itself():
+    """One table per bit gives what taking the token off its slot gives."""
+    words = drawn_words(3, 200)
+    model = m.Model()
+    m.count_bits(model, words, np.ones(len(words)))
+    tables = m.without_one(model)
+    flat, _, _, contexts = m.symbols(words)
+    for _, node, bit in m.bits(flat):
+        for n, slot in enumerate(m.slots(contexts, node)):
+            ones = np.maximum(model.ones[n][slot] - bit, 0)
+            expected = m._stretched(ones, np.maximum(model.seen[n][slot] - 1, ones))
+            assert (tables[n][2 * slot.astype(np.int64) + bit] == expected).all()
+    assert (m.learn_weights(model, words, np.ones(len(words)), tables) == m.learn_weights(model, words, np.ones(len(words)))).all()
+
+
+@pytest.mark.parametrize("spread", [1, 1 << 40])
+def test_earlier_against_loops(spread):
+    draw = np.random.default_rng(4)
+    doc, ids = np.sort(draw.integers(0, 9, 500)), draw.integers(0, 12, 500) * spread
+    before, total = m.earlier(doc, ids)
+    pairs, seen = list(zip(doc.tolist(), ids.tolist(), strict=True)), Counter()
+    whole = Counter(pairs)
+    for k, pair in enumerate(pairs):
+        assert (before[k], total[k]) == (seen[pair], whole[pair])
+        seen[pair] += 1
+
+
+def test_words_of_a_chunk_are_numbered_as_they_come():
+    texts = [["b a", "", None], ["É a c"], [None], ["c b d"]]
+    chunk = m.Chunk(5, 3, contexts=False)
+    for k, part in enumerate(texts):
+        chunk.add(m.pa.record_batch({"doc_id": [10 * k + i for i in range(len(part))], "held_out": [False] * len(part), "text": m.pa.array(part, m.pa.string())}))
+    rows = m.pa.Table.from_batches(chunk.rows())
+    words, hashes = m._chunk_words(rows.filter(m.pc.equal(rows.column("kind"), m.LISTED)))
+    assert words == [m.END, b"b", b"a", "É".encode(), b"c", b"d"]
+    assert hashes.tolist() == [m.word_hash(w) for w in words]
+    ids, sizes = m._word_numbers(rows.filter(m.pc.equal(rows.column("kind"), m.DOCUMENT)).sort_by("slot"))
+    assert (ids.tolist(), sizes.tolist()) == ([1, 2, 3, 2, 4, 4, 1, 5], [2, 0, 0, 3, 0, 3])
+
+
+def test_documents_side_by_side_equal_documents_alone():
+    """Of documents of any lengths, beyond the bits that are looked up at once."""
+    draw = np.random.default_rng(6)
+    sizes = np.array([0, 3, 200, 1, 77, 16, 33])
+    facts = m.Facts(draw.integers(0, 9, 40), np.log10(draw.random(40)), np.arange(40, dtype=np.uint16) + 1, 900)
+    documents = [np.append(draw.integers(1, 40, n), 0) for n in sizes]
+    copied = [np.where(draw.random(len(ids)) < 0.3, facts.marks[ids], draw.integers(0, 3, len(ids))).astype(np.uint16) for ids in documents]
+    held, begin = draw.random(len(sizes)) < 0.5, m.first_cells({0: (1, 3)}, 0.2)
+    whole = m.document_scores([m.document_bits(np.concatenate(documents), sizes, held, np.concatenate(copied), facts)], begin)
+    for k in range(len(sizes)):
+        one = m.document_scores([m.document_bits(documents[k], sizes[k : k + 1], held[k : k + 1], copied[k], facts)], begin)
+        assert abs(one[0] - whole[k]) < 1e-6 * max(1, abs(one[0]))
+
+
 def test_bits_make_a_distribution_over_bytes():
     model = m.Model()
     m.count_bits(model, [b"the", b"that", b"of"], np.array([5, 3, 2]))
